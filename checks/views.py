@@ -104,6 +104,12 @@ SELECT event_id,
        value
 FROM events"""
 
+# The same events 28 years earlier (same weekdays), inside the licence year.
+SQL["city_events_96"] = f"""
+SELECT borough, event_type, street_closure_type, value,
+       start_ts - INTERVAL '28' YEAR AS start_ts, end_ts - INTERVAL '28' YEAR AS end_ts
+FROM ({SQL["city_events"]})"""
+
 SQL["points"] = """
 SELECT c_custkey AS point_id, c_mktsegment AS category,
        -74.25e0 + ((c_custkey * 7919) % 1000) / 1000e0 * 0.55e0 AS lon,
@@ -127,6 +133,8 @@ SQL["weather"] = f"""
 SELECT borough, CAST(date_trunc('hour', start_ts) AS TIMESTAMP) AS datetime, avg(value) AS temperature
 FROM ({SQL["city_events"]}) GROUP BY 1, 2"""
 
+SQL["weather_96"] = SQL["weather"].replace(SQL["city_events"], SQL["city_events_96"])
+
 # Ticket messages in offset order.
 SQL["messages"] = """
 SELECT event_id AS message_offset,

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from urbanspark.functions import rules
 
@@ -190,7 +191,7 @@ def address(house_number: Column | str, street: Column | str) -> Column:
     return F.when(line.contains("West"), F.concat(line, F.lit(", Manhattan"))).otherwise(line)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def ascii_fold(texts: pd.Series) -> pd.Series:
     """Compatibility-decomposed text without its non-ASCII characters. Spark has no such function."""
 

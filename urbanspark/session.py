@@ -27,6 +27,7 @@ def get_session(app_name: str = "urbanspark", master: str | None = None, **conf)
         builder = (
             builder.master(master)
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
             .config("spark.driver.memory", "12g")
             .config("spark.sql.shuffle.partitions", "8")
         )

@@ -4,6 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
 # The 43 ticket columns by position, with the type to read them as. Values that do
 # not parse become null.
 TICKET_COLUMNS = [
@@ -57,7 +66,7 @@ TICKET_NAMES = [name for name, _ in TICKET_COLUMNS]
 
 def struct_of(columns: list[tuple[str, str]]) -> T.StructType:
     """Schema from (name, type) pairs; names may hold blanks."""
-    return T.StructType.fromDDL(", ".join(f"`{name}` {type_name}" for name, type_name in columns))
+    return T.StructType([T.StructField(name, _TYPES[type_name]) for name, type_name in columns])
 
 
 TICKET_SCHEMA = struct_of(TICKET_COLUMNS)
