@@ -80,12 +80,12 @@ def clock_hour(c: Column | str) -> Column:
     )
     hhmm = (
         F.when(text.endswith("A") & noon_hour, F.concat(F.lit("00"), text.substr(F.lit(3), size - 4)))
-        .when(text.endswith("A"), without_last)
-        .when(text.endswith("P") & noon_hour, without_last)
+        .when(text.endswith("A") | (text.endswith("P") & noon_hour), without_last)
         .otherwise(afternoon)
         .try_cast("int")
     )
-    return (F.floor(hhmm / 100) + F.when(F.pmod(hhmm, F.lit(100)) >= 30, 1).otherwise(0)).cast("int")
+    # Minutes 30 to 99 carry into the hour.
+    return F.floor((hhmm + 70) / 100).cast("int")
 
 
 def hour_in_effect(c: Column | str, default: int) -> Column:

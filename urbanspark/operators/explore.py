@@ -187,7 +187,7 @@ def crosstab(df: DataFrame, row: str, column: str, values: list | None = None, p
     """
     pairs = df.select(row, F.concat(F.lit(prefix), F.col(column).cast("string")).alias("__c")).dropna()
     names = [f"{prefix}{v}" for v in values] if values is not None else None
-    return pairs.groupBy(row).pivot("__c", names).agg(F.count("*")).na.fill(0)
+    return pairs.groupBy(row).pivot("__c", names).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:

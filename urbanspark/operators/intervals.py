@@ -49,7 +49,7 @@ def active_counts(
         return F.struct(hour.alias("hour_no"), *weights)
 
     deltas = (
-        intervals.dropna(subset=[start, end])
+        intervals.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
         .join(keys, names, "left_semi")
         .withColumns({"__first": first, "__last": last})
         .filter("__first <= __last")

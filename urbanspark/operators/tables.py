@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanspark.session import work_folder
@@ -12,9 +13,20 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def inline_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
-    """A literal table. Its size is known to the optimizer, so joins with it broadcast by themselves."""
-    structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A small literal table. It becomes a local relation of known size, so joins broadcast it by themselves."""
+    table = pa.table({name: [row[i] for row in rows] for i, name in enumerate(columns)})
+    return spark.createDataFrame(table)
+
+
+def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters and projections use without evaluating them again.
+
+    Filters on a computed column are pushed below the projection, with a copy of its expression
+    each. A generator that yields one row per row is a step they are not pushed through.
+    """
+    added = F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*[F.col(f"`{c}`") for c in kept], added)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from urbanspark.operators.encode import (
 )
 from urbanspark.operators.explore import first_per_key, top_k
 from urbanspark.operators.geo import interpolate_house
-from urbanspark.operators.tables import broadcast_within, materialize
+from urbanspark.operators.tables import broadcast_within, compute_once, materialize
 
 START, END, TEST = datetime(2014, 1, 1), datetime(2024, 1, 1), datetime(2023, 1, 1)
 
@@ -36,9 +36,11 @@ def parse_dates(strict: bool):
 
 def tickets_per_day(tickets: DataFrame, start: datetime = START, end: datetime = END, strict: bool = False) -> DataFrame:
     """Tickets per day and borough; rows of an unknown county are dropped."""
-    dated = tickets.select(
-        parse_dates(strict)("issue_date").alias("issue_date"), clean.county_clean("violation_county").alias("violation_county")
-    )
+    cleaned = {
+        "issue_date": parse_dates(strict)("issue_date"),
+        "violation_county": clean.county_clean("violation_county"),
+    }
+    dated = compute_once(tickets.select("issue_date", "violation_county"), cleaned)
     kept = in_range(dated, "issue_date", start, end).filter(F.col("violation_county") != "-")
     return kept.groupBy(F.to_date("issue_date").alias("issue_date"), "violation_county").agg(F.count("*").alias("tickets"))
 
@@ -60,27 +62,25 @@ def daily_ticket_features(
 
 
 def clean_tickets(tickets: DataFrame, start: datetime = START, end: datetime = END, strict: bool = False) -> DataFrame:
-    """Cleaned tickets with an exact ``issue_time``; unreadable times and unknown counties are dropped."""
-    timed = (
-        tickets.withColumn("__hour", clean.clock_hour("violation_time"))
-        .filter(F.col("__hour").isNotNull())
-        .withColumn("issue_time", clean.issue_time(parse_dates(strict)("issue_date"), "__hour"))
-        .drop("__hour", "violation_time", "issue_date")
-    )
-    return (
-        in_range(timed, "issue_time", start, end)
-        .withColumns(
-            {
-                "vehicle_body_type": clean.body_type("vehicle_body_type"),
-                "vehicle_make": clean.make_initial("vehicle_make"),
-                "plate_type": clean.plate_type("plate_type"),
-                "from_hours_in_effect": clean.hour_in_effect("from_hours_in_effect", 0),
-                "to_hours_in_effect": clean.hour_in_effect("to_hours_in_effect", 24),
-                "violation_county": clean.county_clean("violation_county"),
-            }
-        )
-        .filter(F.col("violation_county") != "-")
-    )
+    """Cleaned tickets with an exact ``issue_time``; unreadable times and unknown counties are dropped.
+
+    Needs issue_date, violation_time and violation_county; other known columns are cleaned if present.
+    """
+    # A null hour or date gives a null time, which the range drops.
+    times = {
+        "issue_time": clean.issue_time(parse_dates(strict)("issue_date"), clean.clock_hour("violation_time")),
+        "violation_county": clean.county_clean("violation_county"),
+    }
+    timed = compute_once(tickets, times).drop("violation_time", "issue_date")
+    rules_by_column = {
+        "vehicle_body_type": clean.body_type("vehicle_body_type"),
+        "vehicle_make": clean.make_initial("vehicle_make"),
+        "plate_type": clean.plate_type("plate_type"),
+        "from_hours_in_effect": clean.hour_in_effect("from_hours_in_effect", 0),
+        "to_hours_in_effect": clean.hour_in_effect("to_hours_in_effect", 24),
+    }
+    known = in_range(timed, "issue_time", start, end).filter(F.col("violation_county") != "-")
+    return known.withColumns({c: rule for c, rule in rules_by_column.items() if c in known.columns})
 
 
 def join_hourly(cleaned: DataFrame, hourly: DataFrame, start: datetime, end: datetime) -> DataFrame:
