@@ -106,8 +106,11 @@ def _fold(steps: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
         F.lit(1.0).alias("a"), F.lit(0.0).alias("b"), F.lit(None).cast("double").alias("g")
     )
     ordered = steps.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__order", *values))).alias("__steps"))
-    folded = {v: F.aggregate("__steps", identity, lambda state, step, v=v: _compose(state, step[v])) for v in values}
-    return ordered.select(*keys, *[c.alias(v) for v, c in folded.items()])
+
+    def folded(v: str) -> Column:
+        return F.aggregate("__steps", identity, lambda state, step: _compose(state, step[v])).alias(v)
+
+    return ordered.select(*keys, *[folded(v) for v in values])
 
 
 def fold_windows(
