@@ -170,11 +170,8 @@ def drop_constant_std(spark, sf_dir):
     dated = source.withColumn("issue_date", clean.to_timestamp_or_null("issue_date"))
     train, _ = encode.split_by_time(dated, "issue_date", V.TEST)
     kept = [c for c in STD_COLUMNS if c not in encode.constant_columns_by_deviation(train, STD_COLUMNS)]
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_samp(c), 6).alias("std"))
-        for c in kept
-    ]
-    return train.agg(F.array(*cells).alias("rows")).select(F.inline("rows"))
+    moments = encode.column_moments(train, kept)
+    return moments.select("column", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
 @check(

@@ -92,7 +92,9 @@ SCALE_COLUMNS = ["violation_code", "feet_from_curb"]
 def scale_train_test(spark, sf_dir):
     source = V.tickets(spark, sf_dir, *SCALE_COLUMNS, "issue_date")
     dated = source.withColumn("issue_date", clean.to_timestamp_or_null("issue_date"))
-    train, test = models.scaled(*encode.split_by_time(dated, "issue_date", V.TEST), SCALE_COLUMNS)
+    train, test = encode.split_by_time(dated, "issue_date", V.TEST)
+    scaler = encode.fit_scaler(train, SCALE_COLUMNS)
+    train, test = encode.apply_scaler(train, scaler), encode.apply_scaler(test, scaler)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return rounded(both, SCALE_COLUMNS).groupBy("part", *SCALE_COLUMNS).agg(F.count("*").alias("n"))
 
@@ -283,18 +285,20 @@ def linreg(spark, sf_dir):
     )
 
 
-def daily_parts(spark, sf_dir):
-    """Training and test part of the tickets-per-day set, and its inputs."""
+def daily_parts(spark, sf_dir, missing_flags=False):
+    """Training and test vectors of the tickets-per-day set."""
     source = V.tickets(spark, sf_dir, "issue_date", "violation_county")
     table = tickets.daily_ticket_features(source, C.daily_features(spark, sf_dir), V.START, V.END)
     timed = table.withColumn("issue_date", F.col("issue_date").cast("timestamp_ntz"))
     inputs = [c for c in table.columns if c not in ("issue_date", "tickets")]
-    return *encode.split_by_time(timed, "issue_date", V.TEST), inputs
+    parts = encode.split_by_time(timed, "issue_date", V.TEST)
+    return tuple(models.vectors(part, inputs, "tickets", missing_flags) for part in parts)
 
 
 def state_parts(spark, sf_dir):
+    """Training and test vectors of the out-of-state set."""
     table = state_table(spark, sf_dir)
-    return *encode.split_by_time(table, "issue_time", V.TEST), table.columns[2:]
+    return tuple(models.vectors(p, table.columns[2:], "label") for p in encode.split_by_time(table, "issue_time", V.TEST))
 
 
 def regression_scores(predictions):
@@ -303,47 +307,31 @@ def regression_scores(predictions):
 
 @check("gbt_regress")
 def gbt_regress(spark, sf_dir):
-    train, test, inputs = daily_parts(spark, sf_dir)
-    return regression_scores(
-        models.boosted_regression(
-            models.vectors(train, inputs, "tickets", missing_flags=True), models.vectors(test, inputs, "tickets", missing_flags=True)
-        )
-    )
+    return regression_scores(models.boosted_regression(*daily_parts(spark, sf_dir, missing_flags=True)))
 
 
 @check("linreg_daily")
 def linreg_daily(spark, sf_dir):
-    train, test, inputs = daily_parts(spark, sf_dir)
-    train, test = models.scaled(train.na.fill(0), test.na.fill(0), inputs)
-    return regression_scores(
-        models.linear_regression(models.vectors(train, inputs, "tickets"), models.vectors(test, inputs, "tickets"))
-    )
+    return regression_scores(models.linear_regression(*models.standardize(*daily_parts(spark, sf_dir))))
 
 
 @check("sgd_regress")
 def sgd_regress(spark, sf_dir):
-    train, test, inputs = daily_parts(spark, sf_dir)
-    train, test = models.scaled(train.na.fill(0), test.na.fill(0), inputs)
-    return regression_scores(models.sgd_regression(train, test, inputs, "tickets"))
+    return regression_scores(models.sgd_regression(*models.standardize(*daily_parts(spark, sf_dir))))
 
 
 @check("gbt_classify")
 def gbt_classify(spark, sf_dir):
-    train, test, inputs = state_parts(spark, sf_dir)
-    predictions = models.boosted_classification(models.vectors(train, inputs, "label"), models.vectors(test, inputs, "label"))
-    return metrics.confusion_matrix(predictions, "label", "prediction")
+    return metrics.confusion_matrix(models.boosted_classification(*state_parts(spark, sf_dir)), "label", "prediction")
 
 
 @check("logreg")
 def logreg(spark, sf_dir):
-    train, test, inputs = state_parts(spark, sf_dir)
-    train, test = models.scaled(train, test, inputs)
-    predictions = models.logistic_regression(models.vectors(train, inputs, "label"), models.vectors(test, inputs, "label"))
+    predictions = models.logistic_regression(*models.standardize(*state_parts(spark, sf_dir)))
     return metrics.confusion_matrix(predictions, "label", "prediction")
 
 
 @check("sgd_classify")
 def sgd_classify(spark, sf_dir):
-    train, test, inputs = state_parts(spark, sf_dir)
-    train, test = models.scaled(train, test, inputs)
-    return metrics.confusion_matrix(models.sgd_classification(train, test, inputs, "label"), "label", "prediction")
+    predictions = models.sgd_classification(*models.standardize(*state_parts(spark, sf_dir)))
+    return metrics.confusion_matrix(predictions, "label", "prediction")

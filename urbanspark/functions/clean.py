@@ -12,7 +12,15 @@ from pyspark.sql.types import StringType
 
 from urbanspark.functions import rules
 
-DATE_PATTERNS = ("M/d/yyyy", "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a", "M/d/yyyy H:mm", "MMMM d, yyyy")
+# Date patterns, each with the shape a text must have for the pattern to be tried.
+DATE_PATTERNS = (
+    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("M/d/yyyy h:mm:ss a", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]$"),
+    ("M/d/yyyy h:mm a", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AaPp][Mm]$"),
+    ("M/d/yyyy H:mm", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$"),
+    ("MMMM d, yyyy", r"^[A-Za-z]+ \d{1,2}, \d{4}$"),
+)
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 
 
 def _col(c: Column | str) -> Column:
@@ -27,8 +35,13 @@ def to_number(c: Column | str, type_name: str = "double") -> Column:
     return _col(c).try_cast(type_name)
 
 
+def whole_number(text: Column) -> Column:
+    """Whole number or null. The shape is tested first: a failing cast costs an exception per row."""
+    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("int"))
+
+
 def to_number_or_zero(c: Column | str) -> Column:
-    return F.coalesce(_col(c).try_cast("int"), F.lit(0))
+    return F.coalesce(whole_number(_col(c).cast("string")), F.lit(0))
 
 
 def is_usable_number(c: Column | str) -> Column:
@@ -40,14 +53,14 @@ def is_usable_number(c: Column | str) -> Column:
 # --- dates ---------------------------------------------------------------------------------------
 
 
-def to_timestamp_or_null(c: Column | str, patterns: tuple[str, ...] = DATE_PATTERNS) -> Column:
+def to_timestamp_or_null(c: Column | str, patterns: tuple[tuple[str, str], ...] = DATE_PATTERNS) -> Column:
     """Wall-clock time from ISO text (fast path) or one of ``patterns``; anything else is null."""
     text = _col(c)
-    parsed = [F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in patterns]
+    parsed = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz")) for p, shape in patterns]
     return F.coalesce(text.try_cast("timestamp_ntz"), *parsed)
 
 
-def to_timestamp_strict(c: Column | str, patterns: tuple[str, ...] = DATE_PATTERNS) -> Column:
+def to_timestamp_strict(c: Column | str, patterns: tuple[tuple[str, str], ...] = DATE_PATTERNS) -> Column:
     """As ``to_timestamp_or_null`` but text that matches no format stops the job."""
     text = _col(c)
     parsed = to_timestamp_or_null(text, patterns)
@@ -55,7 +68,7 @@ def to_timestamp_strict(c: Column | str, patterns: tuple[str, ...] = DATE_PATTER
     return F.when(text.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
 
 
-def to_date_or_null(c: Column | str, patterns: tuple[str, ...] = DATE_PATTERNS) -> Column:
+def to_date_or_null(c: Column | str, patterns: tuple[tuple[str, str], ...] = DATE_PATTERNS) -> Column:
     return to_timestamp_or_null(c, patterns).cast("date")
 
 
@@ -72,18 +85,15 @@ def clock_hour(c: Column | str) -> Column:
     """
     text = _col(c)
     size = F.length(text)
-    noon_hour = F.substring(text, 1, 2) == "12"
-    without_last = text.substr(F.lit(1), size - 1)
-    afternoon = F.concat(
-        (F.substring(text, 1, 2).try_cast("int") + 12).cast("string"),
-        text.substr(F.lit(3), size - 3),
-    )
-    hhmm = (
+    noon_hour = text.startswith("12")
+    afternoon_hour = (F.substring(text, 1, 2).try_cast("int") + 12).cast("string")
+    digits = (
         F.when(text.endswith("A") & noon_hour, F.concat(F.lit("00"), text.substr(F.lit(3), size - 4)))
-        .when(text.endswith("A") | (text.endswith("P") & noon_hour), without_last)
-        .otherwise(afternoon)
-        .try_cast("int")
+        .when(text.endswith("A") | (text.endswith("P") & noon_hour), text.substr(F.lit(1), size - 1))
+        .otherwise(F.concat(afternoon_hour, text.substr(F.lit(3), size - 3)))
     )
+    # Texts without any digit ("ALL") are settled first, a failing cast costs an exception per row.
+    hhmm = F.when(text.rlike(r"\d"), digits.try_cast("int"))
     # Minutes 30 to 99 carry into the hour.
     return F.floor((hhmm + 70) / 100).cast("int")
 
@@ -123,7 +133,8 @@ def county_pass_through(c: Column | str) -> Column:
     return lookup(_col(c), rules.COUNTY_TO_BOROUGH, _col(c))
 
 
-def body_type(c: Column | str) -> Column:
+def body_type_spelling(c: Column | str) -> Column:
+    """Body type in upper case with the known long spellings shortened."""
     upper = F.upper(_col(c))
     shortened = F
     for first, spellings in rules.BODY_TYPE_SPELLINGS.items():
@@ -131,7 +142,11 @@ def body_type(c: Column | str) -> Column:
         for old, new in spellings:
             text = F.replace(text, F.lit(old), F.lit(new))
         shortened = shortened.when(upper.startswith(first), text)
-    return keep_listed(shortened.otherwise(upper), rules.BODY_TYPES, "other")
+    return shortened.otherwise(upper)
+
+
+def body_type(c: Column | str) -> Column:
+    return keep_listed(body_type_spelling(c), rules.BODY_TYPES, "other")
 
 
 def keep_listed(c: Column | str, allowed: list[str], other: str) -> Column:

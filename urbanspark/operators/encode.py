@@ -36,17 +36,41 @@ def one_hot(df: DataFrame, column: str) -> DataFrame:
     return df.withColumns(flags).drop(column)
 
 
+# Columns aggregated together. More would make one generated method too long for the JVM to compile;
+# the groups read their own columns of a columnar file, so the data is still read once.
+COLUMNS_PER_PASS = 40
+
+
+def _per_column(df: DataFrame, columns: list[str], aggregate) -> dict[str, object]:
+    """One aggregate per column, one value per column on the driver."""
+    found = {}
+    for start in range(0, len(columns), COLUMNS_PER_PASS):
+        part = columns[start : start + COLUMNS_PER_PASS]
+        found.update(df.agg(*[aggregate(F.col(f"`{c}`")).alias(c) for c in part]).first().asDict())
+    return found
+
+
 def constant_columns_by_distinct(df: DataFrame, columns: list[str]) -> list[str]:
     """Columns with exactly one distinct non-null value. Equal min and max say so in one pass,
     without a distinct count; an all-null column has no value and is not constant."""
-    row = df.agg(*[(F.min(c) == F.max(c)).alias(c) for c in columns]).first()
-    return [c for c in columns if row[c]]
+    same = _per_column(df, columns, lambda c: F.min(c) == F.max(c))
+    return [c for c in columns if same[c]]
 
 
 def constant_columns_by_deviation(df: DataFrame, columns: list[str]) -> list[str]:
-    """Columns whose standard deviation is not positive; one pass, one value per column."""
-    row = df.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in columns]).first()
-    return [c for c in columns if not (row[c] or 0.0) > 0.0]
+    """Columns whose standard deviation is zero or undefined. The deviation is positive exactly when
+    the least and the greatest value differ, and those two are the cheapest aggregates there are."""
+    varies = _per_column(df, columns, lambda c: F.min(c) < F.max(c))
+    return [c for c in columns if not varies[c]]
+
+
+def column_moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Mean and sample deviation per column as rows (column, mean, std), in one pass."""
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.avg(f"`{c}`").alias("mean"), F.stddev_samp(f"`{c}`").alias("std"))
+        for c in columns
+    ]
+    return df.agg(F.array(*cells).alias("rows")).select(F.inline("rows"))
 
 
 def split_by_time(df: DataFrame, time: str, test_from: datetime) -> tuple[DataFrame, DataFrame]:

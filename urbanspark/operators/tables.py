@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from urbanspark.session import work_folder
 
 # Largest side that is shipped to every executor.
 BROADCAST_BYTES = 256 * 1024 * 1024
+JIT_METHOD_BYTES = 8000
 
 
 def inline_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
@@ -29,14 +33,31 @@ def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in kept], added)
 
 
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Let Spark fall back to split methods where a fused one is too long for the JVM to compile.
+
+    The JVM interprets methods over 8000 bytes of bytecode, which wide projections easily reach.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(JIT_METHOD_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write to the shared work folder and read back: cuts lineage and survives lost executors."""
-    path = work_folder(df.sparkSession, name)
+    spark = df.sparkSession
+    path = work_folder(spark, name)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with compiled_methods(spark):
+        writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def row_bytes(df: DataFrame) -> int:

@@ -66,21 +66,26 @@ def clean_tickets(tickets: DataFrame, start: datetime = START, end: datetime = E
 
     Needs issue_date, violation_time and violation_county; other known columns are cleaned if present.
     """
-    # A null hour or date gives a null time, which the range drops.
-    times = {
-        "issue_time": clean.issue_time(parse_dates(strict)("issue_date"), clean.clock_hour("violation_time")),
-        "violation_county": clean.county_clean("violation_county"),
+    # One step per long expression: a step is one generated method, and the JVM compiles only methods
+    # of limited size. A null hour or date gives a null time, which the range drops.
+    time = clean.issue_time(parse_dates(strict)("issue_date"), clean.clock_hour("violation_time"))
+    timed = compute_once(tickets, {"issue_time": time}).drop("violation_time", "issue_date")
+    located = compute_once(timed, {"violation_county": clean.county_clean("violation_county")})
+    cleaned = in_range(located, "issue_time", start, end).filter(F.col("violation_county") != "-")
+    steps = {
+        "vehicle_body_type": clean.body_type_spelling("vehicle_body_type"),
+        "from_hours_in_effect": clean.hour_in_effect("from_hours_in_effect", 0),
+        "to_hours_in_effect": clean.hour_in_effect("to_hours_in_effect", 24),
     }
-    timed = compute_once(tickets, times).drop("violation_time", "issue_date")
-    rules_by_column = {
-        "vehicle_body_type": clean.body_type("vehicle_body_type"),
+    for column, rule in steps.items():
+        if column in tickets.columns:
+            cleaned = compute_once(cleaned, {column: rule})
+    last = {
+        "vehicle_body_type": clean.keep_listed("vehicle_body_type", rules.BODY_TYPES, "other"),
         "vehicle_make": clean.make_initial("vehicle_make"),
         "plate_type": clean.plate_type("plate_type"),
-        "from_hours_in_effect": clean.hour_in_effect("from_hours_in_effect", 0),
-        "to_hours_in_effect": clean.hour_in_effect("to_hours_in_effect", 24),
     }
-    known = in_range(timed, "issue_time", start, end).filter(F.col("violation_county") != "-")
-    return known.withColumns({c: rule for c, rule in rules_by_column.items() if c in known.columns})
+    return cleaned.withColumns({c: rule for c, rule in last.items() if c in tickets.columns})
 
 
 def join_hourly(cleaned: DataFrame, hourly: DataFrame, start: datetime, end: datetime) -> DataFrame:

@@ -22,6 +22,8 @@ def get_session(app_name: str = "urbanspark", master: str | None = None, **conf)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # The JVM does not compile methods over 8000 bytes; beyond that split methods run faster.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Call sites per column operation cost more than planning itself for wide feature tables.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

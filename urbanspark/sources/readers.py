@@ -79,9 +79,22 @@ def read_union(spark: SparkSession, paths: list[str], fmt: str, columns: list[st
     return merged if columns is None else merged.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def reservoir_sample(df: DataFrame, rows: int, seed: int = 0) -> DataFrame:
-    """Exactly ``rows`` random rows: keep the smallest random keys, a bounded heap per task."""
-    return df.orderBy(F.rand(seed)).limit(rows)
+def reservoir_sample(df: DataFrame, fraction: float, seed: int = 0, slots: int = 100_000) -> DataFrame:
+    """A random sample of exactly ``round(fraction * rows)`` rows.
+
+    Every row draws a number and falls in one of ``slots`` equal parts of its range. The counts per slot
+    (a small table) tell which slots are taken whole; only in the last one are rows ranked. ``df``
+    is read twice and not shuffled; it should be a scan, so that both reads draw the same numbers.
+    """
+    drawn = df.withColumn("__draw", F.rand(seed)).withColumn("__slot", F.floor(F.col("__draw") * slots))
+    counts = {r["__slot"]: r["count"] for r in drawn.groupBy("__slot").count().collect()}  # one row per slot
+    wanted, last = round(fraction * sum(counts.values())), 0
+    while last in range(slots) and counts.get(last, 0) <= wanted:
+        wanted -= counts.get(last, 0)
+        last += 1
+    whole = drawn.filter(F.col("__slot") < last)
+    rest = drawn.filter(F.col("__slot") == last).orderBy("__draw").limit(wanted)
+    return whole.unionByName(rest).select(*df.columns)
 
 
 def hash_sample(df: DataFrame, keys: list[str], fraction: float) -> DataFrame:
