@@ -260,7 +260,7 @@ def hours_in_effect(spark, sf_dir):
 
 @check("issue_time", with_views(f"SELECT {ISSUE_SQL} AS issue_time, count(*) AS n FROM tickets GROUP BY 1", "tickets"))
 def issue_time(spark, sf_dir):
-    source = V.tickets(spark, sf_dir, "issue_date", "violation_time")
+    source = V.tickets(spark, sf_dir, "issue_date", "violation_time", spread=True)
     date = clean.to_timestamp_or_null("issue_date")
     return counted(source.select(clean.issue_time(date, clean.clock_hour("violation_time")).alias("issue_time")), "issue_time")
 

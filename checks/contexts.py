@@ -49,7 +49,7 @@ def hourly_spine_of_events(spark, sf_dir):
 
 def hours_of_tickets(spark, sf_dir):
     """Distinct issue hours with their tickets."""
-    source = V.tickets(spark, sf_dir, "issue_date", "violation_time")
+    source = V.tickets(spark, sf_dir, "issue_date", "violation_time", spread=True)
     time = clean.issue_time(clean.to_timestamp_or_null("issue_date"), clean.clock_hour("violation_time"))
     return source.select(time.alias("issue_time")).dropna().groupBy("issue_time").agg(F.count("*").alias("n"))
 
@@ -399,7 +399,7 @@ def daily_ticket_features(spark, sf_dir):
     ),
 )
 def join_hourly_features(spark, sf_dir):
-    source = V.tickets(spark, sf_dir, "issue_date", "violation_time", "violation_county")
+    source = V.tickets(spark, sf_dir, "issue_date", "violation_time", "violation_county", spread=True)
     cleaned = tickets.clean_tickets(source, V.START, V.END)
     per_hour = cleaned.groupBy("issue_time", "violation_county").agg(F.count("*").alias("n"))
     return tickets.join_hourly(per_hour, features.feature_table_hourly(feature_parts(spark, sf_dir)), V.START, V.END)

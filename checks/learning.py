@@ -188,7 +188,7 @@ ROW_COLUMNS = [
 
 def state_table(spark, sf_dir):
     hourly = features.feature_table_hourly(C.feature_parts(spark, sf_dir))
-    return tickets.state_features(V.tickets(spark, sf_dir, *TICKET_INPUTS), hourly, V.START, V.END, V.TEST)
+    return tickets.state_features(V.tickets(spark, sf_dir, *TICKET_INPUTS, spread=True), hourly, V.START, V.END, V.TEST)
 
 
 def rounded_floats_sql(columns):

@@ -31,7 +31,7 @@ def table_name(prefix: str) -> str:
 
 @check("scan_csv_roundtrip", with_views(f"SELECT {', '.join(CSV_COLUMNS)} FROM tickets", "tickets"))
 def scan_csv_roundtrip(spark, sf_dir):
-    source = V.tickets(spark, sf_dir, *CSV_COLUMNS, "plate_type", "violation_time")
+    source = V.tickets(spark, sf_dir, *CSV_COLUMNS, "plate_type", "violation_time", spread=True)
     path = work_folder(spark, "csv")
     write_dataset(source, path, "csv")
     return read_dataset(spark, path, "csv", columns=CSV_COLUMNS, schema=source.schema)
@@ -107,7 +107,7 @@ def sink_roundtrip(spark, sf_dir):
 
 def wide_tickets(spark, sf_dir):
     """The ticket view under the 43 names; columns the view lacks are null."""
-    source = V.tickets(spark, sf_dir)
+    source = V.tickets(spark, sf_dir, spread=True)
     known = {name.lower().replace(" ", "_"): name for name, _ in TICKET_COLUMNS}
     return source.select(
         *[

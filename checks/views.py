@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from urbanspark.operators.tables import compute_once, inline_table
+from urbanspark.sources.readers import spread_scan
 
 START, END, TEST = datetime(1996, 1, 1), datetime(2001, 1, 1), datetime(2000, 1, 1)
 LICENCE_START, LICENCE_END = datetime(1996, 1, 1), datetime(1996, 12, 31, 23)
@@ -224,11 +225,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def tickets(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The ticket view with the given columns (all by default)."""
+def tickets(spark: SparkSession, sf_dir: str, *columns: str, spread: bool = False) -> DataFrame:
+    """The ticket view with the given columns (all by default); ``spread`` for much work per row."""
     columns = columns or tuple(TICKETS)
     needed = {TICKETS[c][0] for c in columns}
     base = table(spark, sf_dir, "lineitem")
+    if spread:
+        base = spread_scan(base)
     if needed & {"part"}:
         base = base.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     if needed & {"orders", "customer", "nation"}:

@@ -72,6 +72,15 @@ def _read_files(
         raise
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Repartition a scan that has fewer parts than the cluster has cores; a large scan is left alone.
+
+    For a scan only: the partition count of a plan with shuffles would have to run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_union(spark: SparkSession, paths: list[str], fmt: str, columns: list[str] | None = None) -> DataFrame:
     """Union of several datasets by column name; a column that a part lacks is null there."""
     parts = [read_dataset(spark, p, fmt) for p in paths]
