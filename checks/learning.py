@@ -11,6 +11,7 @@ from checks.columns import BODY_SQL, CLOCK_SQL, COUNTY_SQL, DATE_SQL, ISSUE_SQL,
 from checks.registry import check
 from checks.views import with_views
 from urbanspark.functions import clean, rules
+from urbanspark.functions.hours import wall_clock
 from urbanspark.operators import encode, metrics
 from urbanspark.operators.tables import materialize
 from urbanspark.plans import features, models, tickets
@@ -219,7 +220,7 @@ def state_feature_sums(spark, sf_dir):
     """All columns that the set keeps, added up per label in the training and the test part."""
     table = state_table(spark, sf_dir)
     inputs = table.columns[2:]
-    is_train = F.col("issue_time") < F.lit(V.TEST).cast("timestamp_ntz")
+    is_train = F.col("issue_time") < wall_clock(V.TEST)
 
     def total(c, part):
         return F.round(F.sum(F.when(part, F.col(f"`{c}`").cast("double"))), 3)

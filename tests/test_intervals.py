@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from urbanspark.functions.hours import from_hour_index, hour_number
+from urbanspark.functions.hours import from_hour_index, hour_number, wall_clock
 from urbanspark.operators.intervals import active_counts
 from urbanspark.plans.features import event_counts_hourly, merge_features, open_businesses_hourly, open_schools_hourly, resample_daily
 
@@ -91,7 +91,7 @@ def test_weekend_rule(spark):
 def test_event_counters(spark):
     rows = [("Bronx", "Construction", "Full", START, START), ("Bronx", "Parade", None, START, START)]
     df = spark.createDataFrame(rows, "borough string, event_type string, street_closure_type string, start_ts timestamp_ntz, end_ts timestamp_ntz")
-    first = event_counts_hourly(df, START, END).filter((F.col("borough") == "Bronx") & (F.col("datetime") == F.lit(START).cast("timestamp_ntz")))
+    first = event_counts_hourly(df, START, END).filter((F.col("borough") == "Bronx") & (F.col("datetime") == wall_clock(START)))
     assert [tuple(r)[2:] for r in first.collect()] == [(2, 1, 1)]
 
 

@@ -19,6 +19,11 @@ def hour_number(moment: datetime) -> int:
     return int((moment - _EPOCH).total_seconds() // 3600)
 
 
+def wall_clock(moment: datetime) -> Column:
+    """A Python wall-clock time as a literal. Text, because a datetime literal would pass through time zones."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def hour_index(ts: Column) -> Column:
     """Hour number of a timestamp column, rounded down."""
     return F.unix_date(ts.cast("date")).cast("bigint") * 24 + F.hour(ts)

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from urbanspark.functions.hours import wall_clock
 
 MAX_LEVELS = 1000
 
@@ -75,7 +76,7 @@ def column_moments(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def split_by_time(df: DataFrame, time: str, test_from: datetime) -> tuple[DataFrame, DataFrame]:
     """Training rows before the moment, test rows from it on."""
-    moment = F.lit(test_from).cast("timestamp_ntz")
+    moment = wall_clock(test_from)
     return df.filter(F.col(time) < moment), df.filter(F.col(time) >= moment)
 
 

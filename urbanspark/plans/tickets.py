@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from urbanspark.functions import clean, rules
 from urbanspark.functions.clean import to_timestamp_or_null, to_timestamp_strict
+from urbanspark.functions.hours import wall_clock
 from urbanspark.operators.encode import (
     constant_columns_by_deviation,
     constant_columns_by_distinct,
@@ -25,9 +26,7 @@ START, END, TEST = datetime(2014, 1, 1), datetime(2024, 1, 1), datetime(2023, 1,
 
 def in_range(df: DataFrame, time: str, start: datetime, end: datetime) -> DataFrame:
     """Rows with ``start <= time < end``."""
-    return df.filter(
-        (F.col(time) >= F.lit(start).cast("timestamp_ntz")) & (F.col(time) < F.lit(end).cast("timestamp_ntz"))
-    )
+    return df.filter((F.col(time) >= wall_clock(start)) & (F.col(time) < wall_clock(end)))
 
 
 def parse_dates(strict: bool):
