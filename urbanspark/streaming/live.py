@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from urbanspark.operators.explore import STATISTICS, mean_of_groups
-from urbanspark.session import child_names
+from urbanspark.session import child_names, path_exists
 from urbanspark.streaming.windows import (
     add_window_number,
     advance_state,
@@ -26,16 +26,18 @@ from urbanspark.streaming.windows import (
 
 
 def epochs(spark: SparkSession, folder: str) -> list[int]:
-    """Completed epochs of a sink folder, oldest first."""
-    names = [n for n in child_names(spark, folder) if n.startswith("epoch=")]
-    done = [n for n in names if "_SUCCESS" in child_names(spark, f"{folder}/{n}")]
-    return sorted(int(n.split("=")[1]) for n in done)
+    """Epochs of a sink folder, oldest first, finished or not."""
+    names = child_names(spark, folder)
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("epoch="))
 
 
 def read_epoch(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame | None:
-    """The newest epoch, or the newest one older than ``before``; None if there is none."""
-    known = [e for e in epochs(spark, folder) if before is None or e < before]
-    return spark.read.parquet(f"{folder}/epoch={known[-1]}") if known else None
+    """The newest finished epoch, or the newest one older than ``before``; None if there is none."""
+    for epoch in reversed(epochs(spark, folder)):
+        path = f"{folder}/epoch={epoch}"
+        if (before is None or epoch < before) and path_exists(spark, f"{path}/_SUCCESS"):
+            return spark.read.parquet(path)
+    return None
 
 
 def write_epoch(df: DataFrame, folder: str, epoch: int) -> None:
