@@ -26,7 +26,7 @@ MAX_WINNERS = 2048
 # Counters of a sketch. A digest on more than about 0.1 % of all rows cannot be missed.
 COUNTERS = 4096
 # Sketches are merged in groups: task -> 4096 -> 64 -> 1.
-FAN_IN = (4096, 64)
+FAN_IN = (4096, 64, 1)
 
 
 def text_digest(text: Column) -> Column:
@@ -47,8 +47,8 @@ def frequent_digests(digests: DataFrame) -> DataFrame:
         sketches = sketches.groupBy((F.col("part") % groups).alias("part")).agg(
             F.expr(f"approx_top_k_combine(sketch, {COUNTERS})").alias("sketch")
         )
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {COUNTERS})").alias("sketch"))
-    top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_WINNERS})")).alias("top"))
+    # The last level is grouped too: tasks without rows then add no empty sketch, which Spark cannot merge.
+    top = sketches.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_WINNERS})")).alias("top"))
     return top.filter("top.count > 1").select(F.col("top.item").alias("text_sha256"))
 
 
