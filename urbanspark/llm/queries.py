@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanspark.llm import chat, exact_dedup, mixing, packing, quality_model, quality_rules, token_counts, url_rules
+from urbanspark.llm import chat, exact_dedup, mixing, ngram_join, packing, quality_model, quality_rules, token_counts, url_rules
 from urbanspark.operators.tables import inline_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -41,6 +41,10 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, sf_dir, "documents"))
 
 
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 def format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations by turn, and one more that comes in the messages layout."""
     roles = F.array(F.lit("user"), F.lit("assistant"))
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix,
     "op2_pack_sequences": pack,
     "op3_exact_dedup": exact_copies,
+    "op4_ngram_join": near_copies,
     "op5_chat_format": format_chats,
     "op6_quality_classifier": classify_quality,
     "op7_token_counts": count_tokens,
