@@ -11,11 +11,11 @@ Method, a token-group matrix: groups of similar sets, and for every shingle the
    over all documents; whoever could still have a partner goes on with its whole set.
 2. Similar sets form groups: in buckets of equal min-hash each set joins the first leader that it is
    verified to link with. Hot buckets are split.
-3. Bounds between leaders, then, with groups joined by what was found, between all sets: shingles held by one group only
+3. Between leaders, then, with groups joined by what was found, between all sets: shingles that only one group holds
    bound what a set can share with other groups. For the sets left, shingles held by the fewest groups are looked up
    in the matrix. Hits plus the shingles not looked up bound the overlap of a set and a group, and only
-   groups whose bound reaches the needed overlap are opened: the leader first, then, where that did not
-   join the groups, the members of fitting size. Every link is verified on the whole sets.
+   groups whose bound reaches the needed overlap are opened: the leader first, then, where that did not join
+   the groups, the members of fitting size and distance from it. Every link is verified on the whole sets.
 
 Groups, min-hashes and the order of look-ups decide how much work is done, never which links are found.
 
@@ -43,7 +43,7 @@ WIDTH = 5
 LOW_SHARE = 0.4
 PART_SHINGLES = 2_000_000
 # Min-hash rounds, sets per bucket before it is split, and leaders of a bucket a set is compared with.
-ROUNDS = 3
+ROUNDS = 2
 BUCKET_SETS = 1024
 LEADERS = 32
 # Shingles looked up beyond the least number: each makes the bound on a group's overlap sharper by one.
@@ -74,23 +74,31 @@ def set_name(shingles: np.ndarray) -> bytes:
     return np.array([mix(shingles).sum(dtype=np.uint64), mix(shingles ^ _OTHER).sum(dtype=np.uint64)], "<u8").tobytes()
 
 
+def set_ids(names: list[bytes]) -> np.ndarray:
+    """The 64-bit ids of names, never 0. Documents meet by name, sets that may have partners by id."""
+    ids = np.frombuffer(b"".join(name[:8] for name in names), "<i8").copy()
+    ids[ids == 0] = 1
+    return ids
+
+
 def needed(n: Column) -> Column:
     """Least overlap of a set of n shingles with a partner: 75 % of n, rounded up."""
     return F.floor((n * 3 + 3) / 4)
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """doc_id, n and name of the set of every row, written once."""
+    """doc_id, n, name and id of the set of every row, written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column("text")):
                 found = text_sets(part)
                 own = batch.column("doc_id").slice(part.low, len(found))
-                columns = [own, pa.array([len(s) for s in found], pa.int64()), pa.array([set_name(s) for s in found], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "name"])
+                names = [set_name(s) for s in found]
+                columns = [own, pa.array([len(s) for s in found], pa.int64()), pa.array(names, pa.binary()), pa.array(set_ids(names))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "name", "id"])
 
-    return materialize(docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, name binary"), "shingle-sets")
+    return materialize(docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, name binary, id bigint"), "shingle-sets")
 
 
 # ---- shingles held by one owner only
@@ -99,15 +107,13 @@ def set_table(docs: DataFrame) -> DataFrame:
 PACKED = "part int, shingles binary, sets binary, owners binary, places binary"
 
 
-def _packed(sets: list[np.ndarray], names: list[bytes], owners: list[bytes], parts: int, low: float) -> Iterator[tuple]:
-    """Rows (part, ...) with all shingles of a batch of sets.
+def _packed(sets: list[np.ndarray], ids: np.ndarray, owners: np.ndarray, parts: int, low: float) -> Iterator[tuple]:
+    """Rows (part, ...) with all shingles of a batch of sets; ids and owners are 64-bit numbers other than 0.
 
     A shingle that several owners of the batch have is sent once, as shared.
     """
-    keys = np.frombuffer(b"".join(name[:8] for name in names), "<u8")
-    own = np.frombuffer(b"".join(owner[:8] for owner in owners), "<u8")
-    keys, first = np.unique(keys, return_index=True)
-    own, sets = own[first], [sets[i] for i in first.tolist()]
+    keys, first = np.unique(ids, return_index=True)
+    own, sets = owners[first], [sets[i] for i in first.tolist()]
     limit = np.uint64(min(int(low * 2.0**64), (1 << 64) - 1))
     sets = [s[: np.searchsorted(s, limit)] for s in sets]
     shingles = np.concatenate(sets) if sets else np.empty(0, np.uint64)
@@ -130,8 +136,8 @@ def _packed(sets: list[np.ndarray], names: list[bytes], owners: list[bytes], par
         if a < b:
             used, index = np.unique(place[a:b], return_inverse=True)
             known = used >= 0
-            name = np.where(known, keys[used], 0).astype("<u8")
-            owned = np.where(known, own[used], 0).astype("<u8")
+            name = np.where(known, keys[used], 0).astype("<i8")
+            owned = np.where(known, own[used], 0).astype("<i8")
             low_bits = (shingles[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4")
             yield number, low_bits.tobytes(), name.tobytes(), owned.tobytes(), index.astype("<u4").tobytes()
 
@@ -151,8 +157,8 @@ def _lonely(table: pa.Table) -> pa.Table:
     for row in table.to_pylist():
         place = np.frombuffer(row["places"], "<u4")
         shingles.append(np.frombuffer(row["shingles"], "<u4"))
-        sets.append(np.frombuffer(row["sets"], "<u8")[place])
-        owners.append(np.frombuffer(row["owners"], "<u8")[place])
+        sets.append(np.frombuffer(row["sets"], "<i8")[place])
+        owners.append(np.frombuffer(row["owners"], "<i8")[place])
     shingles, sets, owners = np.concatenate(shingles), np.concatenate(sets), np.concatenate(owners)
     order = np.lexsort((sets, shingles))
     shingles, sets, owners = shingles[order], sets[order], owners[order]
@@ -160,70 +166,67 @@ def _lonely(table: pa.Table) -> pa.Table:
     low, high = np.minimum.reduceat(owners, starts), np.maximum.reduceat(owners, starts)
     single = np.repeat((low == high) & (low != 0), np.diff(np.append(starts, len(shingles))))
     single[1:] &= (shingles[1:] != shingles[:-1]) | (sets[1:] != sets[:-1])
-    names, counts = np.unique(sets[single], return_counts=True)
-    return pa.table({"key": pa.array(names.view(np.int64)), "lonely": pa.array(counts.astype(np.int64))})
+    ids, counts = np.unique(sets[single], return_counts=True)
+    return pa.table({"id": pa.array(ids), "lonely": pa.array(counts.astype(np.int64))})
 
 
 def _count_lonely(packed: DataFrame) -> DataFrame:
-    counts = packed.groupBy("part").applyInArrow(_lonely, "key bigint, lonely bigint")
-    return counts.groupBy("key").agg(F.sum("lonely").alias("lonely"))
+    counts = packed.groupBy("part").applyInArrow(_lonely, "id bigint, lonely bigint")
+    return counts.groupBy("id").agg(F.sum("lonely").alias("lonely"))
 
 
 def with_partners(sets: DataFrame, lonely: DataFrame) -> DataFrame:
-    """Rows of ``sets`` (name, n, ...) that do not have too many lonely shingles for any partner."""
-    joined = sets.withColumn("key", _key(F.col("name"))).join(lonely, "key", "left")
-    return joined.filter(F.coalesce("lonely", F.lit(0)) <= F.col("n") - needed(F.col("n"))).drop("key", "lonely")
+    """Rows of ``sets`` (id, n, ...) that do not have too many lonely shingles for any partner."""
+    joined = sets.join(lonely, "id", "left")
+    return joined.filter(F.coalesce("lonely", F.lit(0)) <= F.col("n") - needed(F.col("n"))).drop("lonely")
 
 
-def _key(name: Column) -> Column:
-    """The first eight bytes of a name as the number that the counts use; the bytes are little-endian."""
-    digits = F.hex(name)
-    total = F.lit(0).cast("bigint")
-    for i in range(8):
-        byte = F.conv(F.substring(digits, 2 * i + 1, 2), 16, 10).cast("bigint")
-        total = total.bitwiseOR(F.shiftleft(byte, 8 * i))
-    return total
+def with_partners(sets: DataFrame, lonely: DataFrame) -> DataFrame:
+    """Rows of ``sets`` (id, n, ...) that do not have too many lonely shingles for any partner."""
+    joined = sets.join(lonely, "id", "left")
+    return joined.filter(F.coalesce("lonely", F.lit(0)) <= F.col("n") - needed(F.col("n"))).drop("lonely")
+
 
 
 def candidate_sets(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """name, n, shingles and min-hash keys of every set that may have a partner other than itself; each set once."""
+    """id, n, shingles and min-hash keys of every set that may have a partner other than itself; each set once."""
     total = table.agg(F.sum("n")).first()[0] or 0
     parts = max(1, math.ceil(total * LOW_SHARE / PART_SHINGLES))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [s for part in slices(batch.column("text")) for s in text_sets(part) if len(s)]
-            names = [set_name(s) for s in sets]
-            yield _packed_batch(_packed(sets, names, names, parts, LOW_SHARE))
+            ids = set_ids([set_name(s) for s in sets])
+            yield _packed_batch(_packed(sets, ids, ids, parts, LOW_SHARE))
 
     lonely = _count_lonely(docs.select("text").mapInArrow(pack, PACKED))
-    distinct = table.filter("n > 0").groupBy("name", "n").agg(F.min("doc_id").alias("doc_id"))
+    distinct = table.filter("n > 0").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"))
     left = materialize(with_partners(distinct, lonely), "sets-left")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column("text")):
                 sets = [s for s in text_sets(part) if len(s)]
-                yield _set_batch([(set_name(s), s) for s in sets])
+                yield _set_batch(sets)
 
     wanted = left.select(F.col("doc_id").alias("__doc_id"))
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_semi")
     # Documents that share an id may bring sets that were not asked for.
-    sets = texts.select("text").mapInArrow(read, SETS).join(left.select("name"), "name", "left_semi")
-    return materialize(sets.dropDuplicates(["name"]), "sets")
+    sets = texts.select("text").mapInArrow(read, SETS).join(left.select("id"), "id", "left_semi")
+    return materialize(sets.dropDuplicates(["id"]), "sets")
 
 
-SETS = "name binary, n bigint, shingles array<bigint>, " + ", ".join(f"bucket{i} bigint" for i in range(ROUNDS))
+SETS = "id bigint, n bigint, shingles array<bigint>, " + ", ".join(f"bucket{i} bigint" for i in range(ROUNDS))
 
 
-def _set_batch(rows: list[tuple[bytes, np.ndarray]]) -> pa.RecordBatch:
-    buckets = [[int(mix(s ^ seed).min().view(np.int64)) for _, s in rows] for seed in _SEEDS]
-    lengths = [len(s) for _, s in rows]
+def _set_batch(sets: list[np.ndarray]) -> pa.RecordBatch:
+    buckets = [[int(mix(s ^ seed).min().view(np.int64)) for s in sets] for seed in _SEEDS]
+    lengths = [len(s) for s in sets]
     edges = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    values = np.concatenate([s for _, s in rows]).view(np.int64) if rows else np.empty(0, np.int64)
-    columns = [pa.array([name for name, _ in rows], pa.binary()), pa.array(lengths, pa.int64())]
+    values = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
+    columns = [pa.array(set_ids([set_name(s) for s in sets])), pa.array(lengths, pa.int64())]
     columns += [pa.ListArray.from_arrays(pa.array(edges), pa.array(values)), *(pa.array(b, pa.int64()) for b in buckets)]
-    return pa.RecordBatch.from_arrays(columns, names=["name", "n", "shingles", *(f"bucket{i}" for i in range(ROUNDS))])
+    return pa.RecordBatch.from_arrays(columns, names=["id", "n", "shingles", *(f"bucket{i}" for i in range(ROUNDS))])
 
 
 def _read_sets(column: pa.ListArray) -> list[np.ndarray]:
@@ -255,116 +258,145 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bucket, leaders = None, []
     for batch in batches:
         found = []
-        for name, own, shingles in zip(batch.column("name").to_pylist(), batch.column("own").to_pylist(), _read_sets(batch.column("shingles"))):
+        for own_id, own, shingles in zip(batch.column("id").to_pylist(), batch.column("own").to_pylist(), _read_sets(batch.column("shingles"))):
             if own != bucket:
                 bucket, leaders = own, []
-            leader = next((other for other, held in leaders if links(shingles, held)), name)
-            if leader == name:
-                leaders = [*leaders[-LEADERS + 1 :], (name, shingles.copy())]
+            leader = next((other for other, held in leaders if links(shingles, held)), own_id)
+            if leader == own_id:
+                leaders = [*leaders[-LEADERS + 1 :], (own_id, shingles.copy())]
             found.append(leader)
-        yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(found, pa.binary())], names=["name", "leader"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.int64())], names=["id", "leader"])
 
 
 def _round(sets: DataFrame, bucket: str) -> DataFrame:
-    """name and leader of every set; hot buckets are split by name."""
+    """id and leader of every set; hot buckets are split by id."""
     hot = sets.groupBy(bucket).count().filter(F.col("count") > BUCKET_SETS)
     hot = hot.select(bucket, F.ceil(F.col("count") / BUCKET_SETS).alias("splits"))
-    dealt = sets.select("name", "shingles", bucket).join(hot, bucket, "left")
-    salt = F.pmod(F.xxhash64("name"), F.coalesce("splits", F.lit(1)))
-    dealt = dealt.select("name", "shingles", F.concat_ws("/", F.col(bucket).cast("string"), salt.cast("string")).alias("own"))
-    ordered = dealt.repartition("own").sortWithinPartitions("own", "name")
-    return materialize(ordered.mapInArrow(_lead, "name binary, leader binary"), "leaders")
+    dealt = sets.select("id", "shingles", bucket).join(hot, bucket, "left")
+    salt = F.pmod(F.xxhash64("id"), F.coalesce("splits", F.lit(1)))
+    dealt = dealt.select("id", "shingles", F.concat_ws("/", F.col(bucket).cast("string"), salt.cast("string")).alias("own"))
+    ordered = dealt.repartition("own").sortWithinPartitions("own", "id")
+    return materialize(ordered.mapInArrow(_lead, "id bigint, leader bigint"), "leaders")
 
 
 def similar_groups(sets: DataFrame) -> DataFrame:
-    """name and owner (the leader of its group) of every set."""
+    """id and owner (the leader of its group) of every set."""
     owned, left = None, sets
     for i in range(ROUNDS):
         found = _round(left, f"bucket{i}")
         if owned is None:
-            owned = found.select("name", F.col("leader").alias("owner"))
+            owned = found.select("id", F.col("leader").alias("owner"))
         else:
-            moved = found.select(F.col("name").alias("owner"), "leader")
-            owned = materialize(owned.join(moved, "owner", "left").select("name", F.coalesce("leader", "owner").alias("owner")), "owners")
+            moved = found.select(F.col("id").alias("owner"), "leader")
+            owned = owned.join(moved, "owner", "left").select("id", F.coalesce("leader", "owner").alias("owner"))
         if i + 1 < ROUNDS:
-            left = sets.join(owned.filter("name = owner").select("name"), "name", "left_semi")
-    return owned
+            left = sets.join(owned.filter("id = owner").select("id"), "id", "left_semi")
+    return materialize(owned, "owners")
 
 
 # ---- links between groups
 
 
-def links_between(sets: DataFrame) -> DataFrame:
-    """Edges (a, b) between owners, such that groups connected by any link of their sets are connected.
-
-    ``sets`` has name, owner, n and shingles; an owner is the name of one of its sets or of none here.
-    """
+def possible_links(sets: DataFrame) -> DataFrame:
+    """The sets (id, owner, n, shingles) that may link with a set of another owner, as far as bounds tell."""
     total = sets.agg(F.sum("n")).first()[0] or 0
     parts = max(1, math.ceil(total / PART_SHINGLES))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, owners = batch.column("name").to_pylist(), batch.column("owner").to_pylist()
-            yield _packed_batch(_packed(_read_sets(batch.column("shingles")), names, owners, parts, 1.0))
+            ids, owners = batch.column("id").to_numpy(), batch.column("owner").to_numpy()
+            yield _packed_batch(_packed(_read_sets(batch.column("shingles")), ids, owners, parts, 1.0))
 
-    lonely = _count_lonely(sets.select("name", "owner", "shingles").mapInArrow(pack, PACKED))
-    left = materialize(with_partners(sets.select("name", "owner", "n", "shingles"), lonely), "sets-left")
+    lonely = _count_lonely(sets.select("id", "owner", "shingles").mapInArrow(pack, PACKED))
+    return materialize(with_partners(sets.select("id", "owner", "n", "shingles"), lonely), "sets-left")
 
-    held = left.select("name", "owner", "n", F.explode("shingles").alias("shingle"))
+
+def opened_groups(left: DataFrame) -> DataFrame:
+    """Pairs (id, owner, n, group) of a set and another group whose bound on their overlap suffices for a link."""
+    held = left.select("id", "owner", "n", F.explode("shingles").alias("shingle"))
     matrix = held.select("shingle", F.col("owner").alias("group")).distinct()
     spread = matrix.groupBy("shingle").agg(F.count("*").alias("groups")).filter("groups > 1")
-    shared = held.join(spread, "shingle")
-    of_set = Window.partitionBy("name")
+    of_set = Window.partitionBy("id")
     least = needed(F.col("n"))
-    extra = F.least(F.lit(EXTRA), least - 1)
-    ranked = shared.withColumns(
-        {"rank": F.row_number().over(of_set.orderBy("groups", "shingle")), "held": F.count("*").over(of_set), "extra": extra}
+    ranked = held.join(spread, "shingle").withColumns(
+        {
+            "rank": F.row_number().over(of_set.orderBy("groups", "shingle")),
+            "held": F.count("*").over(of_set),
+            "extra": F.least(F.lit(EXTRA), least - 1),
+        }
     )
     asked = ranked.filter((F.col("held") >= least) & (F.col("rank") <= F.col("held") - least + 1 + F.col("extra")))
-    hits = asked.join(matrix, "shingle").filter(F.col("group") != F.col("owner")).groupBy("name", "owner", "n", "extra", "group")
-    opened = hits.agg(F.count("*").alias("hits")).filter("hits > extra").select("name", "owner", "n", "group")
-    opened = materialize(opened, "opened")
+    hits = asked.join(matrix, "shingle").filter(F.col("group") != F.col("owner")).groupBy("id", "owner", "n", "extra", "group")
+    opened = hits.agg(F.count("*").alias("hits")).filter("hits > extra")
+    return materialize(opened.select("id", "owner", "n", "group"), "opened")
+
+
+def _compared(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """``pairs`` (id, n, other, ...) with m, the size of the other set, and the Jaccard ``distance`` of both."""
+    mine = left.select("id", F.col("shingles").alias("mine"))
+    theirs = right.select(F.col("id").alias("other"), F.col("n").alias("m"), F.col("shingles").alias("theirs"))
+    common = F.size(F.array_intersect("mine", "theirs"))
+    both = pairs.join(mine, "id").join(theirs, "other").withColumn("common", common).drop("mine", "theirs")
+    return both.withColumn("distance", 1 - F.col("common") / (F.col("n") + F.col("m") - F.col("common")))
+
+
+LINKED = "100 * common >= 75 * (n + m - common)"
+# Rounding of distances; pairs are only ever dropped for more.
+ROUNDING = 1e-9
 
-    leaders = opened.join(left.select(F.col("name").alias("other"), F.col("n").alias("m")), F.col("group") == F.col("other"))
-    first = materialize(_verified(leaders.select("name", "other", "n", "m", "owner", "group"), left), "links")
+
+def links_of_leaders(leaders: DataFrame) -> DataFrame:
+    """Edges (a, b) of all links between sets that are groups of their own."""
+    left = possible_links(leaders)
+    opened = opened_groups(left).filter("id < group").withColumn("other", F.col("group"))
+    linked = _compared(opened, left, left).filter(LINKED)
+    return materialize(linked.select(F.col("id").alias("a"), F.col("other").alias("b")), "links")
+
+
+def links_of_members(sets: DataFrame, owned: DataFrame) -> DataFrame:
+    """Edges (a, b) between owners, such that groups connected by any link of their sets are connected.
+
+    Jaccard distance is a metric. A set is compared with the owner of each opened group; a member can only link
+    with it if its own distance from the owner differs from that by no more than the greatest distance of a link.
+    """
+    left = possible_links(sets.join(owned, "id"))
+    opened = opened_groups(left)
+    groups = opened.select("group").distinct()
+    members = left.join(groups, left["owner"] == groups["group"], "left_semi")
+    asked = opened.select("id", "owner", "n", "group", F.col("group").alias("other"), F.lit(False).alias("member"))
+    asked = asked.unionByName(
+        members.select("id", "owner", "n", F.col("owner").alias("group"), F.col("owner").alias("other"), F.lit(True).alias("member"))
+    )
+    compared = materialize(_compared(asked, left, sets), "compared")
+    first = compared.filter("NOT member").filter(LINKED).select(F.col("owner").alias("a"), F.col("group").alias("b")).distinct()
     joined = components(first)
-    rest = opened
+    rest = compared.filter("NOT member")
     for column in ("owner", "group"):
         side = joined.select(F.col("node").alias(column), F.col("component").alias(f"{column}_component"))
         rest = rest.join(side, column, "left")
     rest = rest.filter(F.coalesce("owner_component", "owner") != F.coalesce("group_component", "group"))
-    members = left.select(F.col("name").alias("other"), F.col("owner").alias("group"), F.col("n").alias("m"))
-    pairs = rest.select("name", "owner", "n", "group").join(members, "group").filter("4 * least(n, m) >= 3 * greatest(n, m)")
-    # A pair may be asked for from both sides; one order of the two suffices.
-    turned = F.col("name") > F.col("other")
+    rest = rest.select("id", "owner", "n", "group", F.col("distance").alias("far"))
+    near = compared.filter("member").select(
+        F.col("id").alias("other"), F.col("owner").alias("group"), F.col("n").alias("m"), F.col("distance").alias("near")
+    )
+    fits = (F.abs(F.col("far") - F.col("near")) <= 0.25 + ROUNDING) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
+    pairs = rest.join(near, (rest["group"] == near["group"]) & fits).drop(near["group"])
+    # A pair may be asked for from both sides; one of the two suffices.
+    turned = F.col("id") > F.col("other")
 
     def one_way(column: str, opposite: str) -> Column:
         return F.when(turned, F.col(opposite)).otherwise(F.col(column)).alias(column)
 
-    sides = [("name", "other"), ("other", "name"), ("n", "m"), ("m", "n"), ("owner", "group"), ("group", "owner")]
+    sides = [("id", "other"), ("other", "id"), ("n", "m"), ("owner", "group"), ("group", "owner")]
     pairs = pairs.select(*[one_way(*side) for side in sides]).distinct()
-    second = _verified(pairs, left)
-    return first.unionByName(second).distinct()
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Owners (a, b) of the pairs (name, other, n, m, owner, group) whose whole sets link."""
-    mine = sets.select("name", F.col("shingles").alias("mine"))
-    theirs = sets.select(F.col("name").alias("other"), F.col("shingles").alias("theirs"))
-    common = F.size(F.array_intersect("mine", "theirs"))
-    return (
-        pairs.join(mine, "name")
-        .join(theirs, "other")
-        .filter(100 * common >= 75 * (F.col("n") + F.col("m") - common))
-        .select(F.col("owner").alias("a"), F.col("group").alias("b"))
-        .distinct()
-    )
+    second = _compared(pairs, left, left).filter(LINKED).select(F.col("owner").alias("a"), F.col("group").alias("b"))
+    return materialize(first.unionByName(second).distinct(), "links")
 
 
 def _merge(owned: DataFrame, edges: DataFrame) -> DataFrame:
     """``owned`` with the groups joined that ``edges`` connect."""
     joined = components(edges).select(F.col("node").alias("owner"), "component")
-    return materialize(owned.join(joined, "owner", "left").select("name", F.coalesce("component", "owner").alias("owner")), "owners")
+    return materialize(owned.join(joined, "owner", "left").select("id", F.coalesce("component", "owner").alias("owner")), "owners")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -372,12 +404,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
     table = set_table(docs)
     sets = candidate_sets(docs, table)
     owned = similar_groups(sets)
-    leaders = sets.join(owned.filter("name = owner"), "name")
-    owned = _merge(owned, links_between(leaders))
-    owned = _merge(owned, links_between(sets.join(owned, "name")))
+    owned = _merge(owned, links_of_leaders(sets.join(owned.filter("id = owner"), "id")))
+    owned = _merge(owned, links_of_members(sets, owned))
     alone = table.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    least = table.filter("n > 0").groupBy("name").agg(F.min("doc_id").alias("least"))
-    classes = least.join(owned, "name", "left").withColumn("owner", F.coalesce("owner", "name"))
+    least = table.filter("n > 0").groupBy("name", "id").agg(F.min("doc_id").alias("least"))
+    classes = materialize(least.join(owned, "id", "left").withColumn("owner", F.coalesce("owner", "id")), "classes")
     ids = classes.groupBy("owner").agg(F.min("least").alias("component_id"))
     by_set = classes.join(ids, "owner").select("name", "component_id")
     rows = table.filter("n > 0").join(by_set, "name").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
