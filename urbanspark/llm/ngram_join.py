@@ -42,6 +42,8 @@ WIDTH = 5
 # Share of the hash range counted in the first step, and shingles per task of that count.
 LOW_SHARE = 0.4
 PART_SHINGLES = 2_000_000
+# Sets per task that adds up the counts of the parts.
+BUCKET_IDS = 50_000
 # Min-hash rounds, sets per bucket before it is split, and leaders of a bucket a set is compared with.
 ROUNDS = 2
 BUCKET_SETS = 1024
@@ -167,12 +169,25 @@ def _lonely(table: pa.Table) -> pa.Table:
     single = np.repeat((low == high) & (low != 0), np.diff(np.append(starts, len(shingles))))
     single[1:] &= (shingles[1:] != shingles[:-1]) | (sets[1:] != sets[:-1])
     ids, counts = np.unique(sets[single], return_counts=True)
-    return pa.table({"id": pa.array(ids), "lonely": pa.array(counts.astype(np.int64))})
+    buckets = int(table["buckets"][0].as_py())
+    bucket = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    rows = [(i, ids[bucket == i].tobytes(), counts[bucket == i].astype("<i8").tobytes()) for i in np.unique(bucket).tolist()]
+    columns = list(zip(*rows)) or [[], [], []]
+    return pa.table({"bucket": pa.array(columns[0], pa.int64()), "ids": pa.array(columns[1], pa.binary()), "counts": pa.array(columns[2], pa.binary())})
 
 
-def _count_lonely(packed: DataFrame) -> DataFrame:
-    counts = packed.groupBy("part").applyInArrow(_lonely, "id bigint, lonely bigint")
-    return counts.groupBy("id").agg(F.sum("lonely").alias("lonely"))
+def _sum_lonely(table: pa.Table) -> pa.Table:
+    ids = np.concatenate([np.frombuffer(v, "<i8") for v in table["ids"].to_pylist()])
+    counts = np.concatenate([np.frombuffer(v, "<i8") for v in table["counts"].to_pylist()])
+    ids, place = np.unique(ids, return_inverse=True)
+    return pa.table({"id": pa.array(ids), "lonely": pa.array(np.bincount(place, counts).astype(np.int64))})
+
+
+def _count_lonely(packed: DataFrame, sets: int) -> DataFrame:
+    """id and its number of lonely shingles; parts of the range hand over their counts by buckets of ids, not by row."""
+    asked = packed.withColumn("buckets", F.lit(max(1, math.ceil(sets / BUCKET_IDS))))
+    counts = asked.groupBy("part").applyInArrow(_lonely, "bucket bigint, ids binary, counts binary")
+    return counts.groupBy("bucket").applyInArrow(_sum_lonely, "id bigint, lonely bigint")
 
 
 def with_partners(sets: DataFrame, lonely: DataFrame) -> DataFrame:
@@ -190,7 +205,7 @@ def with_partners(sets: DataFrame, lonely: DataFrame) -> DataFrame:
 
 def candidate_sets(docs: DataFrame, table: DataFrame) -> DataFrame:
     """id, n, shingles and min-hash keys of every set that may have a partner other than itself; each set once."""
-    total = table.agg(F.sum("n")).first()[0] or 0
+    total, rows = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     parts = max(1, math.ceil(total * LOW_SHARE / PART_SHINGLES))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +214,7 @@ def candidate_sets(docs: DataFrame, table: DataFrame) -> DataFrame:
             ids = set_ids([set_name(s) for s in sets])
             yield _packed_batch(_packed(sets, ids, ids, parts, LOW_SHARE))
 
-    lonely = _count_lonely(docs.select("text").mapInArrow(pack, PACKED))
+    lonely = _count_lonely(docs.select("text").mapInArrow(pack, PACKED), rows)
     distinct = table.filter("n > 0").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"))
     left = materialize(with_partners(distinct, lonely), "sets-left")
 
@@ -299,7 +314,7 @@ def similar_groups(sets: DataFrame) -> DataFrame:
 
 def possible_links(sets: DataFrame) -> DataFrame:
     """The sets (id, owner, n, shingles) that may link with a set of another owner, as far as bounds tell."""
-    total = sets.agg(F.sum("n")).first()[0] or 0
+    total, rows = sets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     parts = max(1, math.ceil(total / PART_SHINGLES))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,12 +322,17 @@ def possible_links(sets: DataFrame) -> DataFrame:
             ids, owners = batch.column("id").to_numpy(), batch.column("owner").to_numpy()
             yield _packed_batch(_packed(_read_sets(batch.column("shingles")), ids, owners, parts, 1.0))
 
-    lonely = _count_lonely(sets.select("id", "owner", "shingles").mapInArrow(pack, PACKED))
+    lonely = _count_lonely(sets.select("id", "owner", "shingles").mapInArrow(pack, PACKED), rows)
     return materialize(with_partners(sets.select("id", "owner", "n", "shingles"), lonely), "sets-left")
 
 
 def opened_groups(left: DataFrame) -> DataFrame:
-    """Pairs (id, owner, n, group) of a set and another group whose bound on their overlap suffices for a link."""
+    """Pairs (id, owner, n, group) of a set and another group whose bound on their overlap suffices for a link.
+
+    The overlap is at most the hits and the shingles not looked up. A link of sizes n and m needs three sevenths of
+    n + m, and no partner in the group is smaller than its smallest set. Of two groups only the sets of the smaller
+    one ask, which finds every link between them.
+    """
     held = left.select("id", "owner", "n", F.explode("shingles").alias("shingle"))
     matrix = held.select("shingle", F.col("owner").alias("group")).distinct()
     spread = matrix.groupBy("shingle").agg(F.count("*").alias("groups")).filter("groups > 1")
@@ -326,8 +346,17 @@ def opened_groups(left: DataFrame) -> DataFrame:
         }
     )
     asked = ranked.filter((F.col("held") >= least) & (F.col("rank") <= F.col("held") - least + 1 + F.col("extra")))
-    hits = asked.join(matrix, "shingle").filter(F.col("group") != F.col("owner")).groupBy("id", "owner", "n", "extra", "group")
-    opened = hits.agg(F.count("*").alias("hits")).filter("hits > extra")
+    asked = asked.select("id", "owner", "n", (least - 1 - F.col("extra")).alias("rest"), "shingle")
+    hits = asked.join(matrix, "shingle").filter(F.col("group") != F.col("owner")).groupBy("id", "owner", "n", "rest", "group")
+    sizes = left.groupBy("owner").agg(F.count("*").alias("sets"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    theirs = sizes.withColumnsRenamed({"owner": "group", "sets": "other_sets"})
+    partner = F.greatest(F.col("least_n"), needed(F.col("n")))
+    bounded = hits.agg(F.count("*").alias("hits")).join(theirs, "group").join(sizes.select("owner", "sets"), "owner")
+    opened = bounded.filter(
+        (F.col("most_n") >= needed(F.col("n")))
+        & (7 * (F.col("hits") + F.col("rest")) >= 3 * (F.col("n") + partner))
+        & (F.struct("sets", "owner") < F.struct("other_sets", "group"))
+    )
     return materialize(opened.select("id", "owner", "n", "group"), "opened")
 
 
@@ -348,7 +377,7 @@ ROUNDING = 1e-9
 def links_of_leaders(leaders: DataFrame) -> DataFrame:
     """Edges (a, b) of all links between sets that are groups of their own."""
     left = possible_links(leaders)
-    opened = opened_groups(left).filter("id < group").withColumn("other", F.col("group"))
+    opened = opened_groups(left).withColumn("other", F.col("group"))
     linked = _compared(opened, left, left).filter(LINKED)
     return materialize(linked.select(F.col("id").alias("a"), F.col("other").alias("b")), "links")
 
@@ -381,14 +410,7 @@ def links_of_members(sets: DataFrame, owned: DataFrame) -> DataFrame:
     )
     fits = (F.abs(F.col("far") - F.col("near")) <= 0.25 + ROUNDING) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
     pairs = rest.join(near, (rest["group"] == near["group"]) & fits).drop(near["group"])
-    # A pair may be asked for from both sides; one of the two suffices.
-    turned = F.col("id") > F.col("other")
-
-    def one_way(column: str, opposite: str) -> Column:
-        return F.when(turned, F.col(opposite)).otherwise(F.col(column)).alias(column)
-
-    sides = [("id", "other"), ("other", "id"), ("n", "m"), ("owner", "group"), ("group", "owner")]
-    pairs = pairs.select(*[one_way(*side) for side in sides]).distinct()
+    pairs = pairs.select("id", "other", "n", "owner", "group")
     second = _compared(pairs, left, left).filter(LINKED).select(F.col("owner").alias("a"), F.col("group").alias("b"))
     return materialize(first.unionByName(second).distinct(), "links")
 
