@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanspark.llm import chat, exact_dedup, mixing, ngram_join, packing, quality_model, quality_rules, token_counts, url_rules
+from urbanspark.llm import chat, exact_dedup, mixing, ngram_join, packing, pii, quality_model, quality_rules, token_counts, url_rules
 from urbanspark.operators.tables import inline_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -71,6 +71,10 @@ def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix,
     "op2_pack_sequences": pack,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": count_tokens,
     "op8_url_rules": judge_urls,
     "op9_quality_rules": quality_verdicts,
+    "op10_personal_data": personal_data,
 }
 
 EXACT_DEDUP_SQL = r"""
