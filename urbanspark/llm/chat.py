@@ -145,10 +145,11 @@ def _json_layout(payload: Column) -> Column:
     """Name of the layout whose fingerprint the row's own known paths have."""
     top = F.json_object_keys(payload)
     nested = [F.when(F.array_contains(top, F.lit(field)), F.get_json_object(payload, f"$.{field}[0]")) for field in ("messages", "conversations")]
-    prefixed = [
-        F.transform(F.coalesce(F.json_object_keys(first), F.array()), lambda key, field=field: F.concat(F.lit(field + "."), key))
-        for field, first in zip(("messages", "conversations"), nested)
-    ]
+
+    def below(field: str, first: Column) -> Column:
+        return F.transform(F.coalesce(F.json_object_keys(first), F.array().cast("array<string>")), lambda key: F.concat(F.lit(field + "."), key))
+
+    prefixed = [below(field, first) for field, first in zip(("messages", "conversations"), nested)]
     paths = F.array_intersect(F.concat(top, *prefixed), F.array(*map(F.lit, VOCABULARY)))
     mark = F.sha2(F.array_join(F.array_sort(paths), "\n"), 256)
     named = F.lit(None).cast("string")

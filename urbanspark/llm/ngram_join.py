@@ -49,7 +49,9 @@ ROUNDS = 2
 BUCKET_SETS = 1024
 LEADERS = 32
 # Shingles looked up beyond the least number: each makes the bound on a group's overlap sharper by one.
-EXTRA = 8
+EXTRA = 24
+# Groups in a list of a shingle; a shingle that more groups hold has several lists.
+LIST_GROUPS = 4096
 
 _SEEDS = [np.uint64(0x9FB21C651E98DF25 * (2 * i + 1) % (1 << 64)) for i in range(ROUNDS)]
 _OTHER = np.uint64(0xA0761D6478BD642F)
@@ -191,15 +193,15 @@ def _count_lonely(packed: DataFrame, sets: int) -> DataFrame:
 
 
 def with_partners(sets: DataFrame, lonely: DataFrame) -> DataFrame:
-    """Rows of ``sets`` (id, n, ...) that do not have too many lonely shingles for any partner."""
-    joined = sets.join(lonely, "id", "left")
-    return joined.filter(F.coalesce("lonely", F.lit(0)) <= F.col("n") - needed(F.col("n"))).drop("lonely")
+    """Rows of ``sets`` (id, n, ...) whose shingles that are not lonely, ``held`` in number, may suffice for a partner."""
+    joined = sets.join(lonely, "id", "left").withColumn("held", F.col("n") - F.coalesce("lonely", F.lit(0)))
+    return joined.filter(F.col("held") >= needed(F.col("n"))).drop("lonely")
 
 
 def with_partners(sets: DataFrame, lonely: DataFrame) -> DataFrame:
-    """Rows of ``sets`` (id, n, ...) that do not have too many lonely shingles for any partner."""
-    joined = sets.join(lonely, "id", "left")
-    return joined.filter(F.coalesce("lonely", F.lit(0)) <= F.col("n") - needed(F.col("n"))).drop("lonely")
+    """Rows of ``sets`` (id, n, ...) whose shingles that are not lonely, ``held`` in number, may suffice for a partner."""
+    joined = sets.join(lonely, "id", "left").withColumn("held", F.col("n") - F.coalesce("lonely", F.lit(0)))
+    return joined.filter(F.col("held") >= needed(F.col("n"))).drop("lonely")
 
 
 
@@ -216,7 +218,7 @@ def candidate_sets(docs: DataFrame, table: DataFrame) -> DataFrame:
 
     lonely = _count_lonely(docs.select("text").mapInArrow(pack, PACKED), rows)
     distinct = table.filter("n > 0").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"))
-    left = materialize(with_partners(distinct, lonely), "sets-left")
+    left = materialize(with_partners(distinct, lonely).drop("held"), "sets-left")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,7 +315,10 @@ def similar_groups(sets: DataFrame) -> DataFrame:
 
 
 def possible_links(sets: DataFrame) -> DataFrame:
-    """The sets (id, owner, n, shingles) that may link with a set of another owner, as far as bounds tell."""
+    """The sets (id, owner, n, shingles, held) that may link with a set of another owner, as far as bounds tell.
+
+    ``most`` is the greatest size of a set, not above n, whose link with this one ``held`` would allow.
+    """
     total, rows = sets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     parts = max(1, math.ceil(total / PART_SHINGLES))
 
@@ -323,40 +328,67 @@ def possible_links(sets: DataFrame) -> DataFrame:
             yield _packed_batch(_packed(_read_sets(batch.column("shingles")), ids, owners, parts, 1.0))
 
     lonely = _count_lonely(sets.select("id", "owner", "shingles").mapInArrow(pack, PACKED), rows)
-    return materialize(with_partners(sets.select("id", "owner", "n", "shingles"), lonely), "sets-left")
+    left = with_partners(sets.select("id", "owner", "n", "shingles"), lonely)
+    most = F.least("n", F.floor((7 * F.col("held") - 3 * F.col("n")) / 3))
+    return materialize(left.withColumn("most", most), "sets-left")
+
+
+ASKED = "id bigint, owner bigint, n bigint, rest bigint, group bigint, hits bigint"
+
 
+def _hits(table: pa.Table) -> pa.Table:
+    """Of the look-ups of one set: the groups that hold enough of them."""
+    first = {name: table[name][0].as_py() for name in ("id", "owner", "n", "rest", "floor")}
+    groups, hits = np.unique(np.concatenate([v.values.to_numpy() for v in table["groups"]]), return_counts=True)
+    enough = (hits + first["rest"] >= first["floor"]) & (groups != first["owner"])
+    groups, hits = groups[enough], hits[enough]
+    columns = {name: pa.array(np.full(len(groups), first[name], np.int64)) for name in ("id", "owner", "n", "rest")}
+    return pa.table({**columns, "group": pa.array(groups), "hits": pa.array(hits.astype(np.int64))})
 
-def opened_groups(left: DataFrame) -> DataFrame:
+
+def opened_groups(left: DataFrame, by_size: bool) -> DataFrame:
     """Pairs (id, owner, n, group) of a set and another group whose bound on their overlap suffices for a link.
 
-    The overlap is at most the hits and the shingles not looked up. A link of sizes n and m needs three sevenths of
-    n + m, and no partner in the group is smaller than its smallest set. Of two groups only the sets of the smaller
-    one ask, which finds every link between them.
+    A link of sizes n and m needs three sevenths of n + m in common. One side asks for both: with ``by_size`` the set that
+    is not larger, which then needs six sevenths of its own shingles and only asks groups with a set that allows
+    partners of its size; otherwise the sets of the group with fewer sets. Look-ups begin with the rarest
+    shingles and end ``EXTRA`` after the point where a link could no longer hide. The overlap is at most the hits and the
+    shingles not looked up. The groups of a shingle come as lists of bounded length, and a set counts its hits in
+    them, so pairs that do not qualify never become rows.
     """
-    held = left.select("id", "owner", "n", F.explode("shingles").alias("shingle"))
+    held = left.select("id", "owner", "n", "held", F.explode("shingles").alias("shingle"))
     matrix = held.select("shingle", F.col("owner").alias("group")).distinct()
-    spread = matrix.groupBy("shingle").agg(F.count("*").alias("groups")).filter("groups > 1")
+    spread = matrix.groupBy("shingle").agg(F.count("*").alias("spread")).filter("spread > 1")
+    part = F.pmod(F.xxhash64("group"), F.ceil(F.col("spread") / LIST_GROUPS))
+    lists = matrix.join(spread, "shingle").groupBy("shingle", "spread", part.alias("part")).agg(F.sort_array(F.collect_list("group")).alias("groups"))
+
+    least = F.ceil(6 * F.col("n") / 7) if by_size else needed(F.col("n"))
     of_set = Window.partitionBy("id")
-    least = needed(F.col("n"))
-    ranked = held.join(spread, "shingle").withColumns(
+    shared = held.filter(F.col("held") >= least).drop("held").join(spread, "shingle")
+    ranked = shared.withColumns(
         {
-            "rank": F.row_number().over(of_set.orderBy("groups", "shingle")),
+            "rank": F.row_number().over(of_set.orderBy("spread", "shingle")),
             "held": F.count("*").over(of_set),
             "extra": F.least(F.lit(EXTRA), least - 1),
         }
     )
     asked = ranked.filter((F.col("held") >= least) & (F.col("rank") <= F.col("held") - least + 1 + F.col("extra")))
-    asked = asked.select("id", "owner", "n", (least - 1 - F.col("extra")).alias("rest"), "shingle")
-    hits = asked.join(matrix, "shingle").filter(F.col("group") != F.col("owner")).groupBy("id", "owner", "n", "rest", "group")
-    sizes = left.groupBy("owner").agg(F.count("*").alias("sets"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    theirs = sizes.withColumnsRenamed({"owner": "group", "sets": "other_sets"})
-    partner = F.greatest(F.col("least_n"), needed(F.col("n")))
-    bounded = hits.agg(F.count("*").alias("hits")).join(theirs, "group").join(sizes.select("owner", "sets"), "owner")
-    opened = bounded.filter(
-        (F.col("most_n") >= needed(F.col("n")))
-        & (7 * (F.col("hits") + F.col("rest")) >= 3 * (F.col("n") + partner))
-        & (F.struct("sets", "owner") < F.struct("other_sets", "group"))
+    floor = least if by_size else F.ceil(3 * (F.col("n") + least) / 7)
+    asked = asked.select("id", "owner", "n", (least - 1 - F.col("extra")).alias("rest"), floor.alias("floor"), "shingle")
+    hits = asked.join(lists.select("shingle", "groups"), "shingle").drop("shingle").groupBy("id").applyInArrow(_hits, ASKED)
+
+    sizes = left.groupBy("owner").agg(
+        F.count("*").alias("sets"), F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("most").alias("most")
     )
+    theirs = sizes.withColumnsRenamed({"owner": "group", "sets": "other_sets"})
+    bounded = hits.join(theirs, "group").join(sizes.select("owner", "sets"), "owner")
+    if by_size:
+        partner = F.greatest(F.col("least_n"), F.col("n"))
+        fits = F.col("most") >= F.col("n")
+    else:
+        partner = F.greatest(F.col("least_n"), needed(F.col("n")))
+        fits = (F.col("most_n") >= needed(F.col("n"))) & (F.struct("sets", "owner") < F.struct("other_sets", "group"))
+    opened = bounded.filter(fits & (7 * (F.col("hits") + F.col("rest")) >= 3 * (F.col("n") + partner)))
     return materialize(opened.select("id", "owner", "n", "group"), "opened")
 
 
@@ -377,7 +409,7 @@ ROUNDING = 1e-9
 def links_of_leaders(leaders: DataFrame) -> DataFrame:
     """Edges (a, b) of all links between sets that are groups of their own."""
     left = possible_links(leaders)
-    opened = opened_groups(left).withColumn("other", F.col("group"))
+    opened = opened_groups(left, by_size=True).withColumn("other", F.col("group"))
     linked = _compared(opened, left, left).filter(LINKED)
     return materialize(linked.select(F.col("id").alias("a"), F.col("other").alias("b")), "links")
 
@@ -389,7 +421,7 @@ def links_of_members(sets: DataFrame, owned: DataFrame) -> DataFrame:
     with it if its own distance from the owner differs from that by no more than the greatest distance of a link.
     """
     left = possible_links(sets.join(owned, "id"))
-    opened = opened_groups(left)
+    opened = opened_groups(left, by_size=False)
     groups = opened.select("group").distinct()
     members = left.join(groups, left["owner"] == groups["group"], "left_semi")
     asked = opened.select("id", "owner", "n", "group", F.col("group").alias("other"), F.lit(False).alias("member"))

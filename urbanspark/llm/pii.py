@@ -398,5 +398,8 @@ def span_digests(spans: DataFrame) -> DataFrame:
         ordered = F.array_sort(F.transform(column, lambda s: F.struct(s["start"], F.array_position(place, s["kind"]), s["end"], s["kind"].alias("kind"))))
         return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in KINDS]
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in KINDS]
     return spans.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.concat("base", "added")).alias("spans"))
