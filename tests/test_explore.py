@@ -110,13 +110,28 @@ def test_chunks_of_a_hot_hour(spark, monkeypatch):
     import urbanspark.operators.ranks as ranks
 
     original = ranks.time_slots
-    monkeypatch.setattr(models, "time_slots", lambda d, h, s: original(d, h, s, rows_per_slot=10))
+    monkeypatch.setattr(models, "time_slots", lambda d, h, t, s: original(d, h, t, s, rows_per_slot=10))
     blocks = models.chunk_rows(df, "t", ["i"], size=30).groupBy("block_no").agg(F.count("*"), F.min("t"), F.max("t"))
     found = sorted(values(blocks))
     assert [r[1] for r in found] == [30, 30, 30, 10]
     assert all(a[3] <= b[2] for a, b in zip(found, found[1:]))
 
 
+def test_blocks_do_not_depend_on_the_slot_limit(spark, monkeypatch):
+    rows = [(i, f"2020-01-01 05:{i % 60:02d}:00") for i in range(600)]
+    df = frame(spark, rows, "i int, t string").select("i", F.col("t").cast("timestamp_ntz").alias("t"))
+    import urbanspark.operators.ranks as ranks
+
+    original, found = ranks.time_slots, []
+    for limit in (3, 100, 1_000_000):
+        monkeypatch.setattr(models, "time_slots", lambda d, h, t, s, limit=limit: original(d, h, t, s, rows_per_slot=limit))
+        blocks = models.chunk_rows(df, "t", ["i"], size=50)
+        found.append(sorted(values(blocks.select("i", "block_no"))))
+        spans = sorted(values(blocks.groupBy("block_no").agg(F.min("t"), F.max("t"))))
+        assert all(a[2] <= b[1] for a, b in zip(spans, spans[1:]))
+    assert found[0] == found[1] == found[2]
+
+
 def test_metrics(spark):
     df = frame(spark, [(1, 1), (1, 0), (0, 0), (0, 0)], "y int, p int")
     assert metrics.accuracy(df, "y", "p").first()["accuracy"] == 0.75

@@ -33,13 +33,19 @@ def global_row_number(
     )
 
 
-def time_slots(df: DataFrame, hour_no: str, spread_by: list[str], rows_per_slot: int = 1_000_000) -> tuple[DataFrame, int]:
-    """Add ``slot``, an hour number split by a hash so that the fullest hour stays within bounds.
-
-    Returns the frame and the number of splits per hour. Rows of one hour have no order of their own;
-    the hash of ``spread_by`` gives them one, so a hot hour spreads over many slots.
+def time_slots(
+    df: DataFrame, hour_no: str, time: str, spread_by: list[str], rows_per_slot: int = 1_000_000
+) -> tuple[DataFrame, int]:
+    """Add ``place``, the order inside an hour, and ``slot``, an hour number split along that order.
+
+    Returns the frame and the number of splits per hour. The order is by second; rows of one second have no
+    order of their own and get one from a hash, so a hot second spreads over many slots. ``place`` does not
+    depend on the number of rows, so the order is the same at every size.
     """
-    fullest = df.groupBy(hour_no).count().agg(F.max("count")).first()[0] or 1
-    splits = max(1, -(-fullest // rows_per_slot))
-    part = F.pmod(F.xxhash64(*spread_by), F.lit(splits))
-    return df.withColumn("slot", F.col(hour_no) * splits + part), splits
+    second = F.minute(time) * 60 + F.second(time)
+    tie = F.pmod(F.xxhash64(*spread_by), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    fullest = df.groupBy(hour_no, second.alias("__second")).count().agg(F.max("count")).first()[0] or 1
+    per_second = max(1, -(-fullest // rows_per_slot))
+    placed = df.withColumn("place", second + tie)
+    part = F.floor(F.col("place") * per_second)
+    return placed.withColumn("slot", F.col(hour_no) * (3600 * per_second) + part), 3600 * per_second
