@@ -23,11 +23,11 @@ WINDOW_SQL = """, whole AS (SELECT message_offset // 1000 AS batch_no FROM messa
     stats AS (SELECT batch_no, year_month, {group}, """ + STATS_SQL + """ FROM live JOIN whole USING (batch_no) WHERE {group} IS NOT NULL GROUP BY 1, 2, 3)"""
 
 
-def message_stream(spark, sf_dir):
+def message_stream(spark, sf_dir, view="messages"):
     """The events table replayed as a stream, turned into messages."""
     schema = V.table(spark, sf_dir, "events").schema
     stream = replay_files(spark, f"{sf_dir}/events*.parquet", schema)
-    return spark.sql(V.SQL["messages"].replace("FROM events", "FROM {events}"), events=stream)
+    return spark.sql(V.SQL[view].replace("FROM events", "FROM {events}"), events=stream)
 
 
 @check("count_window_stats", live_sql(WINDOW_SQL.format(group="violation_county") + f"SELECT batch_no, year_month, violation_county, {rounded_sql(STATS)} FROM stats"))
@@ -100,6 +100,75 @@ def view_overall(spark, sf_dir):
     return rounded(live.view_overall(stream_state(spark, sf_dir, "violation_county")), STATS)
 
 
+# --- several broker partitions, with offsets that are missing and messages that come twice -----------
+
+PART_SIZE = 100
+
+
+def part_sql(select: str) -> str:
+    """Windows by rank over the distinct messages of each partition."""
+    windows_sql = f""", once AS (SELECT DISTINCT * FROM part_messages),
+      placed AS (SELECT *, (row_number() OVER (PARTITION BY partition_no ORDER BY part_offset) - 1) // {PART_SIZE} AS window_no FROM once),
+      messages AS (SELECT * EXCLUDE (message_offset, window_no), window_no AS message_offset FROM placed
+                   QUALIFY count(*) OVER (PARTITION BY partition_no, window_no) = {PART_SIZE})"""
+    body = live_sql("").removeprefix("WITH ")
+    live = body[body.index(", live AS") :].replace("message_offset // 1000 AS batch_no", "partition_no, message_offset AS batch_no")
+    return with_views(windows_sql + live + select, "part_messages")
+
+
+def part_stats_sql() -> str:
+    return f""", stats AS (SELECT partition_no, batch_no, year_month, violation_county, {STATS_SQL} FROM live
+      WHERE violation_county IS NOT NULL GROUP BY 1, 2, 3, 4)"""
+
+
+def part_state_sql() -> str:
+    """``half_mean_sql`` with a state per partition, and the mean of these states."""
+    states = half_mean_sql("violation_county")
+    states = states[states.index("mean_state AS") :]
+    for old, new in [
+        ("SELECT year_month, violation_county", "SELECT partition_no, year_month, violation_county"),
+        ("SELECT DISTINCT year_month", "SELECT DISTINCT partition_no, year_month"),
+        ("PARTITION BY year_month", "PARTITION BY partition_no, year_month"),
+        ("GROUP BY 1, 2", "GROUP BY 1, 2, 3"),
+        ("USING (year_month", "USING (partition_no, year_month"),
+    ]:
+        states = states.replace(old, new)
+    means = ", ".join(f"avg({s}) AS {s}" for s in STATS)
+    return part_sql(
+        part_stats_sql()
+        + ", "
+        + states
+        + f" SELECT year_month, violation_county, {rounded_sql(STATS)} FROM (SELECT year_month, violation_county, {means} FROM state GROUP BY 1, 2)"
+    )
+
+
+@check(
+    "count_window_partitions",
+    part_sql(part_stats_sql() + f" SELECT partition_no, batch_no, year_month, violation_county, {rounded_sql(STATS)} FROM stats"),
+)
+def count_window_partitions(spark, sf_dir):
+    messages = V.view(spark, sf_dir, "part_messages")
+    stats = windows.window_stats(messages, "violation_county", "part_offset", PART_SIZE, V.MIN_YEAR, "partition_no")
+    return rounded(stats, STATS)
+
+
+@check("view_borough_partitions", part_state_sql())
+def view_borough_partitions(spark, sf_dir):
+    folder = work_folder(spark, "half_mean")
+    live.start_half_mean(
+        message_stream(spark, sf_dir, "part_messages"),
+        "violation_county",
+        f"{folder}/sink",
+        f"{folder}/checkpoint",
+        "part_offset",
+        PART_SIZE,
+        V.MIN_YEAR,
+        "partition_no",
+    ).awaitTermination()
+    state = live.read_epoch(spark, f"{folder}/sink/state")
+    return rounded(live.view_groups(live.merge_partitions(state, "violation_county"), "violation_county"), STATS)
+
+
 # --- clustering ----------------------------------------------------------------------------------
 
 COMPLETE_SQL = " AND ".join(f"{c} IS NOT NULL" for c in [*cluster.FEATURES, "registration_state"])
@@ -161,11 +230,30 @@ def running_accuracy(spark, sf_dir):
     return cluster.running_accuracy(predictions, OFFSET, "label", "cluster", size=100)
 
 
-@check("stream_kmeans")
-def stream_kmeans(spark, sf_dir):
+def cluster_predictions(spark, sf_dir):
     folder = work_folder(spark, "clusters")
     cluster.start_clustering(
         message_stream(spark, sf_dir), f"{folder}/sink", f"{folder}/checkpoint", OFFSET, WINDOW, min_year=V.MIN_YEAR
     ).awaitTermination()
-    predictions = spark.read.parquet(f"{folder}/sink/predictions").drop("epoch")
-    return predictions.groupBy("batch_no", "cluster", "label").agg(F.count("*").alias("n"))
+    return spark.read.parquet(f"{folder}/sink/predictions").drop("epoch")
+
+
+@check("stream_kmeans")
+def stream_kmeans(spark, sf_dir):
+    return cluster_predictions(spark, sf_dir).groupBy("batch_no", "cluster", "label").agg(F.count("*").alias("n"))
+
+
+@check(
+    "stream_kmeans_windows",
+    with_views(
+        INPUT_SQL
+        + """, whole AS (SELECT message_offset // 1000 AS batch_no FROM messages GROUP BY 1 HAVING count(*) = 1000)
+           SELECT batch_no, label, count(*) AS n, true AS known_cluster FROM inputs JOIN whole USING (batch_no) GROUP BY 1, 2""",
+        "messages",
+    ),
+)
+def stream_kmeans_windows(spark, sf_dir):
+    """What SQL can state of the clustering: every usable message of a whole window has one of the two clusters."""
+    return cluster_predictions(spark, sf_dir).groupBy("batch_no", "label").agg(
+        F.count("*").alias("n"), F.every(F.col("cluster").isin(0, 1)).alias("known_cluster")
+    )

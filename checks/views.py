@@ -162,6 +162,12 @@ SQL["messages"] = SQL["messages"].replace(
     "event_id % 7 + event_id % 5000 / 2500", "CAST(event_id % 7 + floor(event_id % 5000 / 2500.0) AS INT)"
 )
 
+# The same messages over three partitions: offsets start at 100 and every seventh is missing; some messages come twice.
+SQL["part_messages"] = f"""
+SELECT m.*, CAST(message_offset % 3 AS INT) AS partition_no,
+       100 + CAST(floor(message_offset / 3.0) AS BIGINT) + CAST(floor(floor(message_offset / 3.0) / 6.0) AS BIGINT) AS part_offset
+FROM ({SQL["messages"]}) m JOIN (SELECT 1 AS copy_no UNION ALL SELECT 2) c ON copy_no = 1 OR message_offset % 10 = 4"""
+
 # Closed rings inside the map box; corners are chosen so that no point lies on an edge.
 # (region_no, region, part, corners)
 POLYGONS = [

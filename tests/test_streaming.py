@@ -131,6 +131,71 @@ def test_broker_options():
     assert options["startingOffsets"] == "earliest" and options["subscribe"] == messages.TOPIC
 
 
+def part_rows(spark, repeat=True):
+    """600 messages over three partitions of unequal size; every fifth offset is missing, some messages come twice."""
+    rows = V.view(spark, SF, "messages").filter("message_offset < 600")
+    part = F.when(F.col("message_offset") % 6 < 3, 0).when(F.col("message_offset") % 6 < 5, 1).otherwise(2)
+    place = F.expr("message_offset div 6 * 3 + CASE WHEN message_offset % 6 < 3 THEN message_offset % 6 ELSE message_offset % 6 - 3 END")
+    rows = rows.withColumn("part", part).withColumn("offset", 50 + place + (place / 4).cast("bigint"))
+    return rows.unionByName(rows.filter("message_offset % 10 = 0")) if repeat else rows
+
+
+def test_windows_of_partitions_lose_nothing(spark):
+    rows = part_rows(spark)
+    numbered = windows.add_window_number(rows, "offset", 40, "part")
+    counts = {(r["part"], r["batch_no"]): r["count"] for r in numbered.groupBy("part", "batch_no").count().collect()}
+    expected = {}
+    for part, total in ((0, 300), (1, 200), (2, 100)):
+        for start in range(0, total, 40):
+            expected[part, start // 40] = min(40, total - start)
+    assert counts == expected
+
+
+def test_emitted_and_carried_is_received(spark):
+    rows = part_rows(spark, repeat=False).persist()
+    sink = work_folder(spark, "sink")
+    step = live.half_mean_batch(KEYS[1], sink, "offset", 40, 1995, "part")
+    # The third micro-batch brings the second one again beside its own messages.
+    cuts = [(0, 150), (150, 400), (150, 600)]
+    for epoch, (low, high) in enumerate(cuts):
+        step(rows.filter((F.col("message_offset") >= low) & (F.col("message_offset") < high)), epoch)
+    positions = {r["part"]: r["__done"] for r in live.read_epoch(spark, f"{sink}/positions").collect()}
+    assert positions == {0: 7, 1: 5, 2: 2}
+    carried = {r["part"]: r["count"] for r in live.read_epoch(spark, f"{sink}/carry").groupBy("part").count().collect()}
+    assert carried == {0: 20, 2: 20}
+    assert sum(positions.values()) * 40 + sum(carried.values()) == 600
+    stats = windows.window_stats(rows, KEYS[1], "offset", 40, 1995, "part")
+    whole = windows.running_half_mean(stats, ["part", *KEYS])
+    assert_same(
+        rows_by_key(live.merge_partitions(live.read_epoch(spark, f"{sink}/state"), KEYS[1])),
+        rows_by_key(live.merge_partitions(whole, KEYS[1])),
+    )
+    rows.unpersist()
+
+
+def test_empty_stream_has_no_windows(spark):
+    rows = part_rows(spark).limit(0)
+    assert windows.add_window_number(rows, "offset", 40, "part").count() == 0
+
+
+def clusters(spark, files, per_batch):
+    _, schema = files
+    out = work_folder(spark, "clusters")
+    stream = messages.replay_files(spark, f"{files[0]}/*", schema, files_per_batch=per_batch)
+    cluster.start_clustering(stream, f"{out}/sink", f"{out}/checkpoint", "message_offset", 200, min_year=1995).awaitTermination()
+    centers = [list(r["center"]) for r in live.read_epoch(spark, f"{out}/sink/centers").orderBy("cluster").collect()]
+    rows = spark.read.parquet(f"{out}/sink/predictions").select("message_offset", "cluster").orderBy("message_offset")
+    return centers, values(rows)
+
+
+def test_clusters_do_not_depend_on_the_trigger(spark):
+    base, rows = message_files(spark, 5)
+    one, many = clusters(spark, (base, rows.schema), None), clusters(spark, (base, rows.schema), 1)
+    assert one[1] == many[1]
+    for a, b in zip(one[0], many[0]):
+        assert a == pytest.approx(b)
+
+
 def test_clustering_over_micro_batches(spark):
     base, rows = message_files(spark, 4)
     out = work_folder(spark, "clusters")

@@ -91,7 +91,7 @@ def apply_scaler(df: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataF
     return df.withColumns({c: (F.col(c).cast("double") - mean) / deviation for c, (mean, deviation) in scaler.items()})
 
 
-def scale_per_group(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
+def scale_per_group(df: DataFrame, group: str | list[str], columns: list[str]) -> DataFrame:
     """Standard scores within each group (population deviation); groups are count windows, so bounded."""
     by_group = Window.partitionBy(group)
     return df.withColumns(

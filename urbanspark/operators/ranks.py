@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def global_row_number(
-    df: DataFrame, slot: str, block: Column, order: list[Column | str], name: str = "row_no"
+    df: DataFrame, slot: str, block: Column, order: list[Column | str], name: str = "row_no", keys: list[str] | None = None
 ) -> DataFrame:
-    """Number the rows from 0 by (``slot``, ``order``).
+    """Number the rows from 0 by (``slot``, ``order``), on their own for each value of ``keys`` if there are any.
 
     ``slot`` is an ordered whole number with boundedly many rows each; ``block`` groups consecutive slots, a
     few thousand at a time. Offsets come from counts: blocks are accumulated over all blocks, slots
@@ -17,20 +17,19 @@ def global_row_number(
     """
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
-    slots = df.groupBy(slot).agg(F.count("*").alias("__n")).withColumn("__block", block)
-    blocks = slots.groupBy("__block").agg(F.sum("__n").alias("__t"))
-    block_offset = F.coalesce(F.sum("__t").over(before(Window.orderBy("__block"))), zero)
-    slot_offset = F.coalesce(F.sum("__n").over(before(Window.partitionBy("__block").orderBy(slot))), zero)
+    keys = keys or []
+    slots = df.groupBy(*keys, slot).agg(F.count("*").alias("__n")).withColumn("__block", block)
+    blocks = slots.groupBy(*keys, "__block").agg(F.sum("__n").alias("__t"))
+    over_blocks = Window.partitionBy(*keys).orderBy("__block") if keys else Window.orderBy("__block")
+    block_offset = F.coalesce(F.sum("__t").over(before(over_blocks)), zero)
+    slot_offset = F.coalesce(F.sum("__n").over(before(Window.partitionBy(*keys, "__block").orderBy(slot))), zero)
     offsets = (
         slots.withColumn("__inside", slot_offset)
-        .join(blocks.select("__block", block_offset.alias("__offset")), "__block")
-        .select(slot, (F.col("__inside") + F.col("__offset")).alias("__before"))
-    )
-    return (
-        df.join(offsets, slot)
-        .withColumn(name, F.col("__before") + F.row_number().over(Window.partitionBy(slot).orderBy(*order)) - 1)
-        .drop("__before")
+        .join(blocks.select(*keys, "__block", block_offset.alias("__offset")), [*keys, "__block"])
+        .select(*keys, slot, (F.col("__inside") + F.col("__offset")).alias("__before"))
     )
+    inside = F.row_number().over(Window.partitionBy(*keys, slot).orderBy(*order))
+    return df.join(offsets, [*keys, slot]).withColumn(name, F.col("__before") + inside - 1).drop("__before")
 
 
 def time_slots(

@@ -13,18 +13,19 @@ from pyspark.sql.streaming import StreamingQuery
 from urbanspark.functions import clean
 from urbanspark.operators.encode import encode_labels, label_dictionary, scale_per_group
 from urbanspark.operators.ranks import global_row_number
-from urbanspark.streaming.live import read_epoch, write_epoch
-from urbanspark.streaming.windows import add_window_number, usable_year
+from urbanspark.streaming.live import ONE_PARTITION, read_epoch, read_windows, write_epoch
+from urbanspark.streaming.windows import usable_year
 
 NUMERIC = ["vehicle_year", "feet_from_curb"]
 CATEGORICAL = ["plate_type", "violation_code", "vehicle_body_type", "vehicle_make", "issuing_agency", "violation_county"]
 FEATURES = NUMERIC + CATEGORICAL
 
 
-def cluster_inputs(messages: DataFrame, offset: str, min_year: int = 2012) -> DataFrame:
-    """Complete, usable messages: offset, batch_no, features and the label (1 = home state)."""
+def cluster_inputs(messages: DataFrame, offset: str, min_year: int = 2012, partition: str | None = None) -> DataFrame:
+    """Complete, usable messages: partition, offset, batch_no, features and the label (1 = home state)."""
     complete = messages.dropna(subset=[*FEATURES, "registration_state"]).filter(usable_year(min_year))
     return complete.select(
+        *([partition] if partition else []),
         offset,
         "batch_no",
         *[clean.to_number(c).alias(c) for c in NUMERIC],
@@ -47,9 +48,11 @@ def nearest_center(centers: list[list[float]]) -> Column:
     return choice
 
 
-def initial_centers(scaled: DataFrame, k: int, seed: int) -> list[list[float]]:
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(scaled.dropna())
-    return [list(map(float, c)) for c in KMeans(k=k, seed=seed, maxIter=1).fit(vectors).clusterCenters()]
+def initial_centers(window: DataFrame, order: list[str], k: int, seed: int) -> list[list[float]]:
+    """Centers to start from: one pass of k-means over one window, in ``order``, so that reruns agree."""
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(window.dropna(subset=FEATURES))
+    one_task = vectors.coalesce(1).sortWithinPartitions(*order)
+    return [list(map(float, c)) for c in KMeans(k=k, seed=seed, maxIter=1).fit(one_task).clusterCenters()]
 
 
 def update_centers(
@@ -69,45 +72,67 @@ def update_centers(
     return centers, weights
 
 
+def nearest_known(k: int) -> Column:
+    """Like ``nearest_center``, for centers that stand in the array column ``centers`` of each row."""
+    distances = [
+        sum(((F.col(f) - F.col("centers")[i][j]) * (F.col(f) - F.col("centers")[i][j]) for j, f in enumerate(FEATURES)), F.lit(0.0))
+        for i in range(k)
+    ]
+    least = F.least(*distances) if k > 1 else distances[0]
+    choice = F
+    for number, distance in enumerate(distances):
+        choice = choice.when(distance == least, F.lit(number))
+    return choice
+
+
 def cluster_batch(
-    sink: str, offset: str, size: int, k: int = 2, seed: int = 0, min_year: int = 2012
+    sink: str, offset: str, size: int, k: int = 2, seed: int = 0, min_year: int = 2012, partition: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """Micro-batch step: encode, scale per window, update the centers, then predict the same rows.
+    """Micro-batch step: encode and scale per window; each complete window updates the centers in turn.
 
-    The label dictionary comes from the first window of the stream and never changes. The complete
-    windows of one micro-batch make one update; to update per window, limit the source's trigger
-    to one window.
+    The label dictionary comes from the first window of the stream and never changes. A window is predicted
+    with the centers as they are after its own update, so later windows do not reach back, and the
+    stream's trigger does not matter. The windows of several partitions take turns by number. Updating
+    is one small job per window, over a file of its own; the prediction is one job for all.
     """
+    key = partition or ONE_PARTITION
+    window = [key, "batch_no"]
 
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        carried = read_epoch(spark, f"{sink}/carry", epoch)
-        rows = (batch if carried is None else batch.unionByName(carried)).persist()
-        numbered = add_window_number(rows, offset, size)
-        counts = numbered.groupBy("batch_no").count()
-        open_windows = counts.filter(F.col("count") < size)
-        write_epoch(numbered.join(open_windows, "batch_no", "left_semi").drop("batch_no"), f"{sink}/carry", epoch)
-        whole = numbered.join(counts.filter(F.col("count") == size), "batch_no", "left_semi")
-        inputs = cluster_inputs(whole, offset, min_year)
-
+        numbered = read_windows(batch, epoch, sink, offset, size, partition)
+        inputs = cluster_inputs(numbered.filter("whole"), offset, min_year, key)
         dictionary = read_epoch(spark, f"{sink}/dictionary", epoch)
         if dictionary is None:
-            first = inputs.agg(F.min("batch_no")).first()[0]
+            first = inputs.agg(F.min(F.struct("batch_no", key))).first()[0]
             if first is None:
-                rows.unpersist()
+                numbered.unpersist()
                 return
-            write_epoch(label_dictionary(inputs.filter(F.col("batch_no") == first), CATEGORICAL), f"{sink}/dictionary", epoch)
+            opening = inputs.filter((F.col("batch_no") == first["batch_no"]) & (F.col(key) == first[key]))
+            write_epoch(label_dictionary(opening, CATEGORICAL), f"{sink}/dictionary", epoch)
             dictionary = read_epoch(spark, f"{sink}/dictionary")
-        scaled = scale_per_group(encode_labels(inputs, dictionary, CATEGORICAL), "batch_no", FEATURES)
-        scaled = scaled.na.fill(0.0, FEATURES).persist()
+        scaled = scale_per_group(encode_labels(inputs, dictionary, CATEGORICAL), window, FEATURES).na.fill(0.0, FEATURES)
+        # Cut by window, so that each update reads its own file only.
+        scaled.write.mode("overwrite").partitionBy(*window).parquet(f"{sink}/windows/epoch={epoch}")
+        numbered.unpersist()
+        schema = scaled.schema
+        scaled = spark.read.schema(schema).parquet(f"{sink}/windows/epoch={epoch}")
 
         model = read_epoch(spark, f"{sink}/centers", epoch)
-        if model is None:
-            centers, weights = initial_centers(scaled, k, seed), [0.0] * k
-        else:
+        centers, weights = None, [0.0] * k
+        if model is not None:
             known = sorted(model.collect(), key=lambda r: r["cluster"])  # k rows
             centers, weights = [list(r["center"]) for r in known], [r["weight"] for r in known]
-        centers, weights = update_centers(scaled, centers, weights)
+        steps = []
+        for at in scaled.select(*window).distinct().orderBy("batch_no", key).toLocalIterator():
+            one = scaled.filter((F.col(key) == at[key]) & (F.col("batch_no") == at["batch_no"]))
+            if centers is None:
+                centers = initial_centers(one, [offset], k, seed)
+            centers, weights = update_centers(one, centers, weights)
+            steps.append((at[key], at["batch_no"], centers))
+        if centers is None:
+            return
+        centers_of = spark.createDataFrame(steps, f"`{key}` {schema[key].dataType.simpleString()}, batch_no bigint, centers array<array<double>>")
         write_epoch(
             spark.createDataFrame(
                 [(i, centers[i], float(weights[i])) for i in range(k)], "cluster int, center array<double>, weight double"
@@ -115,10 +140,11 @@ def cluster_batch(
             f"{sink}/centers",
             epoch,
         )
-        predicted = scaled.select(offset, "batch_no", "label", nearest_center(centers).alias("cluster"))
+        known = [partition] if partition else []
+        predicted = scaled.join(centers_of, window).select(
+            *known, offset, "batch_no", "label", nearest_known(k).alias("cluster")
+        )
         write_epoch(predicted, f"{sink}/predictions", epoch)
-        scaled.unpersist()
-        rows.unpersist()
 
     return step
 
@@ -141,11 +167,11 @@ def running_accuracy(
     better of the two matchings. Chunks run across windows, so rows are numbered globally from counts
     per window (``batch_no``). An incomplete last chunk gives no value.
     """
-    block = F.floor(F.col("batch_no") / 1000)
+    block = F.expr("batch_no div 1000")
     numbered = global_row_number(predictions, "batch_no", block, [offset])
     hit = F.when(F.col(label) == F.col(prediction), 1.0).otherwise(0.0)
     chunks = (
-        numbered.groupBy(F.floor(F.col("row_no") / size).alias("chunk_no"))
+        numbered.groupBy(F.expr(f"row_no div {size}").alias("chunk_no"))
         .agg(F.avg(hit).alias("accuracy"), F.count("*").alias("n"))
         .filter(F.col("n") == size)
     )

@@ -16,12 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from urbanspark.operators.explore import STATISTICS, mean_of_groups
 from urbanspark.session import child_names, path_exists
 from urbanspark.streaming.windows import (
-    add_window_number,
     advance_state,
     fold_windows,
     live_columns,
+    split_windows,
+    stats_of_windows,
     usable_year,
-    window_stats,
 )
 
 
@@ -68,47 +68,77 @@ def start_month_stats(messages: DataFrame, group: str, sink: str, checkpoint: st
     )
 
 
+ONE_PARTITION = "__partition"
+
+
+def read_windows(
+    batch: DataFrame, epoch: int, sink: str, offset: str, size: int, partition: str | None
+) -> DataFrame:
+    """Messages of a micro-batch with ``batch_no`` and ``whole``, after those carried over; writes what is carried now.
+
+    The carry is less than one window per broker partition. The result is cached; the caller lets it go.
+    """
+    spark = batch.sparkSession
+    rows = batch if partition else batch.withColumn(ONE_PARTITION, F.lit(0))
+    key = partition or ONE_PARTITION
+    carried, positions = read_epoch(spark, f"{sink}/carry", epoch), read_epoch(spark, f"{sink}/positions", epoch)
+    numbered, reached = split_windows(rows, carried, positions, offset, size, key)
+    numbered = numbered.persist()
+    write_epoch(numbered.filter(~F.col("whole")).drop("batch_no", "whole"), f"{sink}/carry", epoch)
+    write_epoch(reached, f"{sink}/positions", epoch)
+    return numbered
+
+
 def half_mean_batch(
-    group: str, sink: str, offset: str, size: int, min_year: int = 2012
+    group: str, sink: str, offset: str, size: int, min_year: int = 2012, partition: str | None = None
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch step of the windowed state: complete windows update it, the rest is carried over.
 
-    The carry is less than one window per broker partition.
+    The order of the windows is given inside a broker partition only, so each ``partition`` has a state of
+    its own and the result does not depend on how the stream is cut into micro-batches.
     """
-    keys = ["year_month", group]
+    keys = [*([partition] if partition else []), "year_month", group]
 
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        carried = read_epoch(spark, f"{sink}/carry", epoch)
-        rows = batch if carried is None else batch.unionByName(carried)
-        rows = rows.persist()
-        numbered = add_window_number(rows, offset, size)
-        open_windows = numbered.groupBy("batch_no").count().filter(F.col("count") < size).select("batch_no")
-        write_epoch(numbered.join(open_windows, "batch_no", "left_semi").drop("batch_no"), f"{sink}/carry", epoch)
-        folded = fold_windows(window_stats(rows, group, offset, size, min_year), keys)
+        numbered = read_windows(batch, epoch, sink, offset, size, partition)
+        whole = numbered.filter("whole").drop("whole")
+        folded = fold_windows(stats_of_windows(whole, group, size, min_year, partition), keys)
         before = read_epoch(spark, f"{sink}/state", epoch)
         if before is None:
             state = folded.select(*keys, *[F.col(v)["g"].alias(v) for v in STATISTICS])
         else:
             state = advance_state(before, folded, keys)
         write_epoch(state, f"{sink}/state", epoch)
-        rows.unpersist()
+        numbered.unpersist()
 
     return step
 
 
 def start_half_mean(
-    messages: DataFrame, group: str, sink: str, checkpoint: str, offset: str, size: int, min_year: int = 2012
+    messages: DataFrame,
+    group: str,
+    sink: str,
+    checkpoint: str,
+    offset: str,
+    size: int,
+    min_year: int = 2012,
+    partition: str | None = None,
 ) -> StreamingQuery:
     """Windowed state (new = mean of old and window) kept by a stream; read with ``read_epoch(sink/state)``."""
     return (
         messages.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(half_mean_batch(group, sink, offset, size, min_year))
+        .foreachBatch(half_mean_batch(group, sink, offset, size, min_year, partition))
         .start()
     )
 
 
+def merge_partitions(state: DataFrame, group: str) -> DataFrame:
+    """State per month and group: unweighted mean over the states of the broker partitions."""
+    return mean_of_groups(state, ["year_month", group])
+
+
 def view_overall(state: DataFrame) -> DataFrame:
     """City view: unweighted mean over the groups of a month, in month order."""
     return mean_of_groups(state, ["year_month"]).orderBy("year_month")

@@ -7,17 +7,63 @@ from pyspark.sql import functions as F
 
 from urbanspark.functions import clean
 from urbanspark.operators.explore import STATISTICS, count_values, stats_of_counts
+from urbanspark.operators.ranks import global_row_number
 
 # Vehicle years are summed around this year, see stats_of_counts.
 YEAR_CENTER = 2000.0
 
 
-def add_window_number(df: DataFrame, offset: str, size: int) -> DataFrame:
-    """Number of the count window a message falls in, from its offset.
+def add_window_number(df: DataFrame, offset: str, size: int, partition: str | None = None) -> DataFrame:
+    """Number of the count window a message falls in: ``size`` consecutive messages make one window.
 
-    Offsets count per broker partition, so with several partitions the windows are per partition.
+    Offsets count per broker partition, so the windows of each ``partition`` are counted on their own; without
+    the name all messages are of one partition. A message is placed by its rank, not by its offset, so
+    offsets that are missing (compaction, transactions) leave no hole; one that was delivered more than
+    once counts once. ``size`` offsets hold at most ``size`` messages, so no task sorts more than that at once.
     """
-    return df.withColumn("batch_no", F.floor(F.col(offset) / size))
+    keys = [partition] if partition else []
+    once = df.dropDuplicates([*keys, offset]).withColumn("__slot", F.expr(f"`{offset}` div {size}"))
+    placed = global_row_number(once, "__slot", F.expr("__slot div 1000"), [offset], "__place", keys)
+    return placed.withColumn("batch_no", F.expr(f"__place div {size}")).drop("__slot", "__place")
+
+
+def split_windows(
+    batch: DataFrame, carried: DataFrame | None, positions: DataFrame | None, offset: str, size: int, partition: str
+) -> tuple[DataFrame, DataFrame]:
+    """Next step of the windows of a stream: (messages with their ``batch_no`` and ``whole``, new positions).
+
+    ``carried`` are the messages of unfinished windows, ``positions`` one row per partition: finished windows and
+    the greatest offset so far. A broker hands out the offsets of a partition in rising order, so a message at or
+    below that offset is one that comes again, and is left out. Every other message is either in a whole
+    window or, with ``whole`` false, to be carried.
+    """
+    rows = batch
+    if positions is not None:
+        rows = (
+            batch.join(positions.select(partition, "__last"), partition, "left")
+            .filter(F.col("__last").isNull() | (F.col(offset) > F.col("__last")))
+            .drop("__last")
+        )
+    if carried is not None:
+        rows = rows.unionByName(carried)
+    numbered = add_window_number(rows, offset, size, partition)
+    if positions is not None:
+        numbered = numbered.join(positions.select(partition, "__done"), partition, "left")
+    else:
+        numbered = numbered.withColumn("__done", F.lit(0))
+    numbered = numbered.withColumn("batch_no", F.col("batch_no") + F.coalesce("__done", F.lit(0))).drop("__done")
+    inside = F.count("*").over(Window.partitionBy(partition, "batch_no"))
+    numbered = numbered.withColumn("whole", inside == size)
+    reached = numbered.groupBy(partition).agg(
+        # The number of the open window is the number of finished ones.
+        F.max(F.col("batch_no") + F.col("whole").cast("bigint")).alias("__done"),
+        F.max(offset).alias("__last"),
+    )
+    if positions is not None:
+        reached = positions.unionByName(reached).groupBy(partition).agg(
+            F.max("__done").alias("__done"), F.max("__last").alias("__last")
+        )
+    return numbered, reached
 
 
 def usable_year(min_year: int) -> Column:
@@ -40,33 +86,44 @@ def live_columns(messages: DataFrame) -> DataFrame:
 
 
 def window_stats(
-    messages: DataFrame, group: str, offset: str, size: int, min_year: int = 2012
+    messages: DataFrame, group: str, offset: str, size: int, min_year: int = 2012, partition: str | None = None
 ) -> DataFrame:
     """Five statistics of the vehicle year per complete window, month and ``group``.
 
     ``group`` is ``violation_county`` or ``street``; messages without a group (streets outside the
     known list) do not count. A window with fewer than ``size`` messages is not complete and gives
-    nothing. One scan: equal values are counted first, with unusable messages under a null key, so
-    that the same counts tell whether a window is complete.
+    nothing. With ``partition`` the windows are those of each broker partition.
+    """
+    return stats_of_windows(add_window_number(messages, offset, size, partition), group, size, min_year, partition)
+
+
+def stats_of_windows(
+    numbered: DataFrame, group: str, size: int, min_year: int = 2012, partition: str | None = None
+) -> DataFrame:
+    """``window_stats`` of messages that have their ``batch_no``.
+
+    Equal values are counted first, with unusable messages under a null key, so that the same counts tell
+    whether a window is complete.
     """
+    window = [partition, "batch_no"] if partition else ["batch_no"]
     keys = ["year_month", group]
-    live = add_window_number(live_columns(messages.withColumn("__usable", usable_year(min_year))), offset, size)
+    live = live_columns(numbered.withColumn("__usable", usable_year(min_year)))
     flagged = live.withColumn("__usable", F.col("__usable") & F.col(group).isNotNull())
     masked = flagged.select(
-        "batch_no",
+        *window,
         "__usable",
         *[F.when(F.col("__usable"), F.col(c)).alias(c) for c in [*keys, "vehicle_year_number"]],
     )
-    counted = masked.groupBy("batch_no", "__usable", *keys, "vehicle_year_number").agg(F.count("*").alias("__rows"))
-    whole = F.sum("__rows").over(Window.partitionBy("batch_no"))
+    counted = masked.groupBy(*window, "__usable", *keys, "vehicle_year_number").agg(F.count("*").alias("__rows"))
+    whole = F.sum("__rows").over(Window.partitionBy(*window))
     kept = counted.withColumn("__whole", whole).filter((F.col("__whole") == size) & F.col("__usable"))
     values = kept.select(
-        "batch_no",
+        *window,
         *keys,
         F.col("vehicle_year_number").alias("__v"),
         F.when(F.col("vehicle_year_number").isNotNull(), F.col("__rows")).otherwise(0).alias("__c"),
     )
-    return stats_of_counts(values, ["batch_no", *keys], YEAR_CENTER)
+    return stats_of_counts(values, [*window, *keys], YEAR_CENTER)
 
 
 def month_stats(messages: DataFrame, group: str, min_year: int = 2012) -> DataFrame:
@@ -124,7 +181,7 @@ def fold_windows(
     values = values or STATISTICS
     steps = stats.select(*keys, F.col(order).alias("__order"), *[_step(F.col(v)).alias(v) for v in values])
     for _ in range(levels):
-        segment = F.floor(F.col("__order") / span).alias("__segment")
+        segment = F.expr(f"__order div {span}").alias("__segment")
         steps = _fold(steps.withColumn("__segment", segment), [*keys, "__segment"], values).withColumnRenamed(
             "__segment", "__order"
         )
