@@ -198,13 +198,6 @@ def with_partners(sets: DataFrame, lonely: DataFrame) -> DataFrame:
     return joined.filter(F.col("held") >= needed(F.col("n"))).drop("lonely")
 
 
-def with_partners(sets: DataFrame, lonely: DataFrame) -> DataFrame:
-    """Rows of ``sets`` (id, n, ...) whose shingles that are not lonely, ``held`` in number, may suffice for a partner."""
-    joined = sets.join(lonely, "id", "left").withColumn("held", F.col("n") - F.coalesce("lonely", F.lit(0)))
-    return joined.filter(F.col("held") >= needed(F.col("n"))).drop("lonely")
-
-
-
 def candidate_sets(docs: DataFrame, table: DataFrame) -> DataFrame:
     """id, n, shingles and min-hash keys of every set that may have a partner other than itself; each set once."""
     total, rows = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -356,26 +349,25 @@ def opened_groups(left: DataFrame, by_size: bool) -> DataFrame:
     shingles not looked up. The groups of a shingle come as lists of bounded length, and a set counts its hits in
     them, so pairs that do not qualify never become rows.
     """
-    held = left.select("id", "owner", "n", "held", F.explode("shingles").alias("shingle"))
-    matrix = held.select("shingle", F.col("owner").alias("group")).distinct()
+    matrix = left.select("owner", F.explode("shingles").alias("shingle")).select("shingle", F.col("owner").alias("group")).distinct()
     spread = matrix.groupBy("shingle").agg(F.count("*").alias("spread")).filter("spread > 1")
     part = F.pmod(F.xxhash64("group"), F.ceil(F.col("spread") / LIST_GROUPS))
     lists = matrix.join(spread, "shingle").groupBy("shingle", "spread", part.alias("part")).agg(F.sort_array(F.collect_list("group")).alias("groups"))
 
+    # Rows per shingle are the bulk of what moves: they carry the id alone, and what depends on it joins by set.
     least = F.ceil(6 * F.col("n") / 7) if by_size else needed(F.col("n"))
+    asking = left.filter(F.col("held") >= least)
+    extra = F.least(F.lit(EXTRA), least - 1)
+    floor = least if by_size else F.ceil(3 * (F.col("n") + least) / 7)
     of_set = Window.partitionBy("id")
-    shared = held.filter(F.col("held") >= least).drop("held").join(spread, "shingle")
-    ranked = shared.withColumns(
-        {
-            "rank": F.row_number().over(of_set.orderBy("spread", "shingle")),
-            "held": F.count("*").over(of_set),
-            "extra": F.least(F.lit(EXTRA), least - 1),
-        }
+    shared = asking.select("id", F.explode("shingles").alias("shingle")).join(spread, "shingle")
+    ranked = shared.join(asking.select("id", least.alias("least"), extra.alias("extra")), "id").withColumns(
+        {"rank": F.row_number().over(of_set.orderBy("spread", "shingle")), "held": F.count("*").over(of_set)}
     )
-    asked = ranked.filter((F.col("held") >= least) & (F.col("rank") <= F.col("held") - least + 1 + F.col("extra")))
-    floor = least if by_size else F.ceil(3 * (F.col("n") + least) / 7)
-    asked = asked.select("id", "owner", "n", (least - 1 - F.col("extra")).alias("rest"), floor.alias("floor"), "shingle")
-    hits = asked.join(lists.select("shingle", "groups"), "shingle").drop("shingle").groupBy("id").applyInArrow(_hits, ASKED)
+    asked = ranked.filter("held >= least AND rank <= held - least + 1 + extra").select("id", "shingle")
+    found = asked.join(lists.select("shingle", "groups"), "shingle").select("id", "groups")
+    bounds = asking.select("id", "owner", "n", (least - 1 - extra).alias("rest"), floor.alias("floor"))
+    hits = found.join(bounds, "id").groupBy("id").applyInArrow(_hits, ASKED)
 
     sizes = left.groupBy("owner").agg(
         F.count("*").alias("sets"), F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("most").alias("most")
