@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from urbanspark.llm.components import components
 from urbanspark.llm.words import Slice, mix, slices, windows
-from urbanspark.operators.tables import materialize
+from urbanspark.operators.tables import broadcast_within, materialize
 
 WIDTH = 5
 # Share of the hash range counted in the first step, and shingles per task of that count.
@@ -219,10 +219,12 @@ def candidate_sets(docs: DataFrame, table: DataFrame) -> DataFrame:
                 sets = [s for s in text_sets(part) if len(s)]
                 yield _set_batch(sets)
 
-    wanted = left.select(F.col("doc_id").alias("__doc_id"))
+    # Within the size limit of broadcasts the texts stay where they are; beyond it they are shuffled.
+    most = left.count()
+    wanted = broadcast_within(left.select(F.col("doc_id").alias("__doc_id")), most)
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_semi")
     # Documents that share an id may bring sets that were not asked for.
-    sets = texts.select("text").mapInArrow(read, SETS).join(left.select("id"), "id", "left_semi")
+    sets = texts.select("text").mapInArrow(read, SETS).join(broadcast_within(left.select("id"), most), "id", "left_semi")
     return materialize(sets.dropDuplicates(["id"]), "sets")
 
 
@@ -278,10 +280,11 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.int64())], names=["id", "leader"])
 
 
-def _round(sets: DataFrame, bucket: str) -> DataFrame:
-    """id and leader of every set; hot buckets are split by id."""
+def _round(sets: DataFrame, bucket: str, total: int) -> DataFrame:
+    """id and leader of every set, of at most ``total``; hot buckets are split by id."""
     hot = sets.groupBy(bucket).count().filter(F.col("count") > BUCKET_SETS)
     hot = hot.select(bucket, F.ceil(F.col("count") / BUCKET_SETS).alias("splits"))
+    hot = broadcast_within(hot, total // BUCKET_SETS)
     dealt = sets.select("id", "shingles", bucket).join(hot, bucket, "left")
     salt = F.pmod(F.xxhash64("id"), F.coalesce("splits", F.lit(1)))
     dealt = dealt.select("id", "shingles", F.concat_ws("/", F.col(bucket).cast("string"), salt.cast("string")).alias("own"))
@@ -291,9 +294,9 @@ def _round(sets: DataFrame, bucket: str) -> DataFrame:
 
 def similar_groups(sets: DataFrame) -> DataFrame:
     """id and owner (the leader of its group) of every set."""
-    owned, left = None, sets
+    owned, left, total = None, sets, sets.count()
     for i in range(ROUNDS):
-        found = _round(left, f"bucket{i}")
+        found = _round(left, f"bucket{i}", total)
         if owned is None:
             owned = found.select("id", F.col("leader").alias("owner"))
         else:
@@ -320,8 +323,10 @@ def possible_links(sets: DataFrame) -> DataFrame:
             ids, owners = batch.column("id").to_numpy(), batch.column("owner").to_numpy()
             yield _packed_batch(_packed(_read_sets(batch.column("shingles")), ids, owners, parts, 1.0))
 
-    lonely = _count_lonely(sets.select("id", "owner", "shingles").mapInArrow(pack, PACKED), rows)
-    left = with_partners(sets.select("id", "owner", "n", "shingles"), lonely)
+    # Both uses read the same columns, so the sets are shuffled once for them.
+    used = sets.select("id", "owner", "n", "shingles")
+    lonely = _count_lonely(used.mapInArrow(pack, PACKED), rows)
+    left = with_partners(used, lonely)
     most = F.least("n", F.floor((7 * F.col("held") - 3 * F.col("n")) / 3))
     return materialize(left.withColumn("most", most), "sets-left")
 
