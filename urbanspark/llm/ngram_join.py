@@ -472,7 +472,11 @@ def one_per_component(docs: DataFrame) -> DataFrame:
     Of rows that share that id one stays. Rows of a component without any id all stay.
     """
     kept = near_copies(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__doc_id")).distinct()
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__doc_id")))
+    # The rank needs no second shuffle of the texts, as the plain join already deals them by id.
+    joined = docs.join(kept, F.col("doc_id") == F.col("__doc_id"))
     rank = F.row_number().over(Window.partitionBy("__doc_id").orderBy("text"))
-    numbered = joined.withColumn("__rank", rank).filter("__rank = 1 OR __doc_id IS NULL")
-    return numbered.select(*[F.col(f"`{c}`") for c in docs.columns])
+    known = joined.withColumn("__rank", rank).filter("__rank = 1")
+    without = broadcast_within(kept.filter("__doc_id IS NULL"), 1)
+    unknown = docs.filter("doc_id IS NULL").join(without, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_semi")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return known.select(*columns).unionByName(unknown.select(*columns))
