@@ -310,3 +310,10 @@ def test_empty_tables(nothing, labels):
     assert quality_rules.judge_documents(nothing).count() == 0
     assert pii.find_spans(nothing).count() == 0
     assert token_counts.token_counts(nothing, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
+
+
+def test_one_per_component_with_null_and_repeated_ids(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (None, "x y z"), (None, "x y z"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(((r["doc_id"], r["text"]) for r in ngram_join.one_per_component(docs).collect()), key=str)
+    assert kept == [(1, "a b c d e f"), (3, None), (None, "x y z"), (None, "x y z")]
