@@ -26,12 +26,13 @@ def one_hot_fixed(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     return df.withColumns(flags).drop(*levels)
 
 
-def one_hot(df: DataFrame, column: str) -> DataFrame:
-    """Replace a column by one 0/1 column per level found in the data."""
-    found = df.select(F.col(column).cast("string").alias("v")).dropna().distinct().orderBy("v").limit(MAX_LEVELS + 1)
-    levels = [row["v"] for row in found.collect()]
-    if len(levels) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels; one-hot columns would be too wide")
+def one_hot(df: DataFrame, column: str, levels: list[str] | None = None) -> DataFrame:
+    """Replace a column by one 0/1 column per level: the given ones, or those found in the data, which is then read."""
+    if levels is None:
+        found = df.select(F.col(column).cast("string").alias("v")).dropna().distinct().orderBy("v").limit(MAX_LEVELS + 1)
+        levels = [row["v"] for row in found.collect()]
+        if len(levels) > MAX_LEVELS:
+            raise ValueError(f"{column} has more than {MAX_LEVELS} levels; one-hot columns would be too wide")
     text = F.col(column).cast("string")
     flags = {f"{column}_{v}": F.coalesce((text == v).cast("int"), F.lit(0)) for v in levels}
     return df.withColumns(flags).drop(column)

@@ -55,7 +55,7 @@ def daily_ticket_features(
 ) -> DataFrame:
     """Regression set: tickets per day and borough with features, county one-hot, no constant columns."""
     joined = join_daily(tickets_per_day(tickets, start, end, strict), daily)
-    table = materialize(one_hot(joined, "violation_county"), "daily_features")
+    table = materialize(one_hot(joined, "violation_county", sorted(rules.BOROUGHS)), "daily_features")
     inputs = [c for c in table.columns if c not in ("issue_date", "tickets")]
     return table.drop(*constant_columns_by_distinct(table, inputs))
 
@@ -153,11 +153,10 @@ def with_combo(df: DataFrame) -> DataFrame:
 def name_streets(streets: DataFrame, tickets: DataFrame, order: list[str]) -> DataFrame:
     """Each street with one name from the tickets: the first in ``order``, "W " spelled out.
 
-    ``streets`` is a top-k list, so it is broadcast to filter the tickets; the names left are at
-    most one per listed street.
+    The names left are at most one per listed street. A short list is broadcast by Spark's own size check.
     """
     listed = with_combo(streets)
-    names = with_combo(tickets).join(F.broadcast(listed.select("street_code").distinct()), "street_code", "left_semi")
+    names = with_combo(tickets).join(listed.select("street_code").distinct(), "street_code", "left_semi")
     first = first_per_key(names, ["street_code"], [*order, "street_name"])
     named = first.select("street_code", clean.spell_out_west("street_name").alias("street_name"))
     return listed.join(named, "street_code", "left")
@@ -172,14 +171,14 @@ def house_bounds(tickets: DataFrame) -> DataFrame:
 def locate_houses(tickets: DataFrame, ends: DataFrame, streets: DataFrame) -> DataFrame:
     """Position of each ticket of the listed streets, interpolated between the street's ends.
 
-    ``ends`` has street_code, first_lon, first_lat, last_lon, last_lat. ``streets`` is a top-k list;
-    bounds and ends are one row per listed street, so both are broadcast.
+    ``ends`` has street_code, first_lon, first_lat, last_lon, last_lat. Bounds and ends
+    are one row per street of the list ``streets``; Spark broadcasts them where their size allows it.
     """
-    listed = F.broadcast(streets.select("street_code").distinct())
+    listed = streets.select("street_code").distinct()
     on_street = tickets.join(listed, "street_code", "left_semi")
     bounds = house_bounds(on_street)
     ends = ends.join(listed, "street_code", "left_semi")
-    placed = on_street.join(F.broadcast(bounds), "street_code").join(F.broadcast(ends), "street_code")
+    placed = on_street.join(bounds, "street_code").join(ends, "street_code")
     house = clean.to_number_or_zero("house_number")
     low, high = F.col("house_min"), F.col("house_max")
     return placed.select(
