@@ -2,7 +2,7 @@
 
 The SQL text is what the comparison runs. The DataFrames hold the same expressions, but the ticket view joins
 only the tables that the asked-for columns need: its foreign keys are complete, so an unused
-table would join every row to exactly one row and change nothing (``tests/test_views.py`` checks the keys).
+table would join every row to exactly one row and change nothing (``tests/test_queries.py`` checks the keys).
 """
 
 from __future__ import annotations
