@@ -317,3 +317,22 @@ def test_one_per_component_with_null_and_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = sorted(((r["doc_id"], r["text"]) for r in ngram_join.one_per_component(docs).collect()), key=str)
     assert kept == [(1, "a b c d e f"), (3, None), (None, "x y z"), (None, "x y z")]
+
+
+def test_quality_of_rare_languages(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "MAX_LANGUAGES", 1)
+    rng = random.Random(8)
+
+    def prose(letters, common):
+        words = ["".join(rng.choice(letters) for _ in range(6)) for _ in range(40)] + common * 2
+        return " ".join(rng.choice(words) for _ in range(400))
+
+    english, cyrillic = ("abcdefghij", "the of and to in is it".split()), ("\u0431\u0432\u0433\u0434\u0436\u0437", ["\u0438"])
+    rows = [(i, prose(*english), "en") for i in range(30)] + [(100 + i, prose(*cyrillic), "ru") for i in range(25)]
+    rows += [(200, prose(*cyrillic), "bg"), (201, prose("0123456789#", []), "en"), (202, prose("0123456789#", []), "ru")]
+    docs = spark.createDataFrame([(i, text.capitalize(), lang) for i, text, lang in rows], "doc_id bigint, text string, lang string")
+    judged = {r.doc_id: r for r in quality_rules.judge_documents(docs).collect()}
+    # Without a reference of its own the base rules decide; a language beyond the largest has its own reference.
+    assert judged[200].kept and judged[200].class_distance is None
+    assert all(judged[100 + i].kept for i in range(25)) and all(judged[i].kept for i in range(30))
+    assert not judged[201].kept and not judged[202].kept

@@ -6,12 +6,14 @@ three-word windows found twice or more in it.
 Method. Two histograms describe a text: characters by class, and frequent function words against all
 other words. The references are the mean histograms of each language over all documents that pass the base
 rules, computed twice: the second time without documents far from the first references, so junk leaves no
-mark on them. A document is compared with the nearest language by Jensen-Shannon distance (base 2) and dropped
-if a distance exceeds its limit. Limits are wider for short texts, whose histograms vary by chance.
+mark on them. A document is compared with its own language and with the ``MAX_LANGUAGES`` largest, takes the nearest by
+Jensen-Shannon distance (base 2) and is dropped if a distance exceeds its limit. Limits are wider for short texts, whose
+histograms vary by chance.
 
 Defined results: a null text has no words and fails; a null language gives no reference but the document
-is compared with all; languages with fewer than ``MIN_DOCUMENTS`` documents have no reference; without any reference
-the base rules decide alone; repeated rows are judged each; an empty table gives no rows.
+is compared with the largest; languages with fewer than ``MIN_DOCUMENTS`` documents, in all or near the first references,
+have no reference, and the base rules alone decide on their documents; repeated rows are judged each; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from urbanspark.llm.text_stats import CLASSES, WORD_LIST, class_counts, common_word_counts, text_counts
 from urbanspark.llm.words import slices
-from urbanspark.operators.tables import materialize
+from urbanspark.operators.tables import broadcast_within, materialize
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -35,7 +37,8 @@ WORD_LIMIT = (0.45, 6.0)
 # Second references come from documents nearer than this to the first ones.
 TRIM = 0.15
 MIN_DOCUMENTS = 20
-# References go to every task: the largest languages, about 1 kB each. Others are compared with these.
+# References that go to every task, about 1 kB each, for documents whose language is missing or wrong. Each document
+# gets the reference of its own language by a join, whatever its size.
 MAX_LANGUAGES = 1000
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -83,62 +86,94 @@ def jensen_shannon(rows: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(divergence(rows) + divergence(np.broadcast_to(reference, rows.shape)), 0) / 2)
 
 
-def nearest(classes: np.ndarray, words: np.ndarray, references: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+References = list[tuple[np.ndarray, np.ndarray]]
+
+
+def _own_references(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows have a reference of their own language, and these references."""
+    column = batch.column("reference")
+    known = column.is_valid().to_numpy(zero_copy_only=False)
+    return known, column.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_CLASSES + N_WORDS)
+
+
+def nearest(classes: np.ndarray, words: np.ndarray, known: np.ndarray, own: np.ndarray, largest: References) -> tuple[np.ndarray, np.ndarray]:
     """Distances of both histograms from the language with the smallest sum of both."""
     best = np.full((2, len(classes)), np.inf)
-    for class_reference, word_reference in references:
+    if known.any():
+        best[:, known] = [jensen_shannon(classes[known], own[:, :N_CLASSES]), jensen_shannon(words[known], own[:, N_CLASSES:])]
+    for class_reference, word_reference in largest:
         found = np.stack([jensen_shannon(classes, class_reference), jensen_shannon(words, word_reference)])
         best = np.where(found.sum(0) < best.sum(0), found, best)
     return best[0], best[1]
 
 
-def language_references(table: DataFrame, first: list[tuple[np.ndarray, np.ndarray]] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Mean histograms per language; with ``first``, over documents near one of those references.
+def largest_references(references: DataFrame) -> References:
+    chosen = references.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).select("reference").collect()
+    rows = [np.array(row["reference"]) for row in chosen]
+    return [(row[:N_CLASSES], row[N_CLASSES:]) for row in rows]
+
+
+def with_references(table: DataFrame, references: DataFrame) -> DataFrame:
+    """Every row of ``table`` with the reference of its language, or null."""
+    width = 8 * (N_CLASSES + N_WORDS)
+    small = broadcast_within(references.select("lang", "reference"), references.count() * width // 64)
+    return table.join(small, "lang", "left")
+
+
+def language_references(table: DataFrame, first: DataFrame | None = None) -> DataFrame:
+    """lang, n and reference (mean histograms) of the languages; with ``first``, over documents near one of those references.
 
     Tasks add up whole millionths, so the sums are the same in any order.
     """
-    width = N_CLASSES + N_WORDS
+    usable = table.filter("NOT base_failed AND lang IS NOT NULL").select("lang", "classes", "words")
+    largest = largest_references(first) if first else []
+    if first:
+        usable = with_references(usable, first)
+    trim = first is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             classes, words = _shares(batch)
             rows = np.rint(np.concatenate([classes, words], axis=1) * 1e6).astype(np.int64)
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-            if first:
-                near = nearest(classes, words, first)[0] < TRIM
+            if trim:
+                known, own = _own_references(batch)
+                near = known & (nearest(classes, words, known, own, largest)[0] < TRIM)
                 rows, langs = rows[near], langs[near]
             names = sorted(set(langs))
             sums = [[int((langs == name).sum()), *rows[langs == name].sum(0).tolist()] for name in names]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sums, pa.list_(pa.int64()))], names=["lang", "sums"])
 
-    usable = table.filter("NOT base_failed AND lang IS NOT NULL").select("lang", "classes", "words")
     parts = usable.mapInArrow(run, "lang string, sums array<bigint>")
     places = parts.select("lang", F.posexplode("sums").alias("place", "value")).groupBy("lang", "place").agg(F.sum("value").alias("value"))
     by_lang = places.groupBy("lang").agg(
         F.max(F.when(F.col("place") == 0, F.col("value"))).alias("n"),
         F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda pair: pair["value"]).alias("sums"),
     )
-    chosen = by_lang.filter(F.col("n") >= MIN_DOCUMENTS).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    found = []
-    for row in chosen:
-        sums = np.array(row["sums"][1 : width + 1], float)
-        found.append((sums[:N_CLASSES] / sums[:N_CLASSES].sum(), sums[N_CLASSES:] / sums[N_CLASSES:].sum()))
-    return found
+
+    def mean(start: int, size: int):
+        own = F.slice("sums", start, size)
+        total = F.greatest(F.aggregate(own, F.lit(0).cast("bigint"), lambda a, b: a + b), F.lit(1))
+        return F.transform(own, lambda value: value / total)
+
+    reference = F.concat(mean(2, N_CLASSES), mean(2 + N_CLASSES, N_WORDS)).alias("reference")
+    return materialize(by_lang.filter(F.col("n") >= MIN_DOCUMENTS).select("lang", "n", reference), "references")
 
 
 def judge_documents(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, and both distances (null without a reference) of every row."""
     table = histogram_table(docs)
-    first = language_references(table)
-    references = language_references(table, first) if first else []
-    references = references or first
+    references = language_references(table, language_references(table))
+    largest = largest_references(references)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             failed = batch.column("base_failed").to_numpy(zero_copy_only=False).astype(bool)
             n_words = np.maximum(batch.column("n_words").to_numpy(), 1)
-            class_distance, word_distance = nearest(*_shares(batch), references)
-            known = np.isfinite(class_distance)
+            own_known, own = _own_references(batch)
+            class_distance, word_distance = nearest(*_shares(batch), own_known, own, largest)
+            no_lang = batch.column("lang").is_null().to_numpy(zero_copy_only=False)
+            known = np.isfinite(class_distance) & (own_known | no_lang)
             far = (class_distance > CLASS_LIMIT[0] + CLASS_LIMIT[1] / n_words) | (word_distance > WORD_LIMIT[0] + WORD_LIMIT[1] / n_words)
             kept = ~failed & ~(far & known)
             yield pa.RecordBatch.from_arrays(
@@ -152,4 +187,4 @@ def judge_documents(docs: DataFrame) -> DataFrame:
         + ", ".join(f"{name} bigint" for name in BASE)
         + ", base_failed boolean, kept boolean, class_distance double, word_distance double"
     )
-    return table.mapInArrow(run, schema)
+    return with_references(table, references).mapInArrow(run, schema)
