@@ -336,3 +336,19 @@ def test_quality_of_rare_languages(spark, monkeypatch):
     assert judged[200].kept and judged[200].class_distance is None
     assert all(judged[100 + i].kept for i in range(25)) and all(judged[i].kept for i in range(30))
     assert not judged[201].kept and not judged[202].kept
+
+
+def added(text, weights):
+    return [(text[start:end], kind) for start, end, kind in pii.added_spans(text, pii.base_spans(text), weights)]
+
+
+@pytest.fixture(scope="module")
+def weights():
+    return pii.train([])
+
+
+def test_spelled_out_addresses_without_digits(spark):
+    texts = ["write to jane at example dot com please", "ask jane.doe (at) example (dot) com now", "we are at this point in time", "at noon. then the dot"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = {r.doc_id: [(texts[r.doc_id][s.start : s.end], s.kind) for s in r.added] for r in pii.find_spans(docs).collect()}
+    assert rows == {0: [("jane at example dot com", "email")], 1: [("jane.doe (at) example (dot) com", "email")], 2: [], 3: []}

@@ -1,7 +1,7 @@
 """Personal data in texts: fixed patterns, and a semi-Markov conditional random field for other spellings.
 
 Base: the leftmost non-overlapping matches of four patterns, with checks that drop a failing match. They always
-stay. Method: around digits and ``@`` outside of base spans, a semi-Markov CRF scores whole candidate
+stay. Method: around digits, ``@`` and spelled-out at signs outside of base spans, a semi-Markov CRF scores whole candidate
 segments of up to ``MAX_TOKENS`` tokens by features of the whole span (digits, groups, check digit, separators,
 spelled-out signs, the word before). Dynamic programming picks boundaries and types jointly; what it finds beside the base
 spans is added if its score clears ``MARGIN``.
@@ -33,6 +33,7 @@ Span = tuple[int, int, str]  # start, end, kind
 SAMPLE = 100
 MAX_TOKENS = 12
 CONTEXT_TOKENS = 6
+CONTEXT_CHARS = 60
 MARGIN = 2.0
 EPOCHS = 40
 
@@ -43,6 +44,11 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 DIGIT_OR_AT = re.compile(r"[0-9@]")
+SPELLED_AT = ("at", "arobase")
+SPELLED_DOT = ("dot", "punkt", "point", "punto")
+# What opens a region, and what also carries it on: spelled-out dots.
+OPENING = re.compile(rf"[0-9@]|(?<![A-Za-z])(?:{'|'.join(SPELLED_AT)})(?![A-Za-z])", re.I | re.A)
+MARK = re.compile(rf"[0-9@]|(?<![A-Za-z])(?:{'|'.join(SPELLED_AT + SPELLED_DOT)})(?![A-Za-z])", re.I | re.A)
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
 
 
@@ -99,8 +105,11 @@ FEATURES = [
     "bias", "at", "at_and_dot", "spelled_at", "spelled_dot", "four_groups", "small_groups", "plus", "bracket", "luhn",
     "digits_0", "digits_1_6", "digits_7_8", "digits_9_11", "digits_12_15", "digits_16", "digits_17_19", "digits_20",
     "only_numbers", "equal_groups", "spaces", "slash_or_other", "letters_and_digits", "groups_1", "groups_2", "groups_3_4", "groups_5",
-    "word_mail", "word_phone", "word_card", "word_ip", "short_last_group",
+    "word_mail", "word_phone", "word_card", "word_ip", "short_last_group", "inner_dot", "loose_words", "goes_on", "at_then_dot", "whole_address", "spaced_address", "whole_ip", "whole_card", "prose_word", "hidden_ip",
 ]
+# Words that are no part of a name.
+PROSE_WORDS = "the this that these those which what his her their our my your its all any some".split()
+PROSE_WORD = re.compile(rf"(?<![a-z])(?:{'|'.join(PROSE_WORDS)})(?![a-z])")
 INDEX = {name: i for i, name in enumerate(FEATURES)}
 # Words that announce a kind.
 WORDS = {
@@ -111,15 +120,25 @@ WORDS = {
 }
 
 
-def span_features(span: str, before: str) -> list[int]:
+AT_THEN_DOT = re.compile(
+    r"(?<![a-z])(?:at(?![a-z]).*?(?<![a-z])(?:dot|punkt)|arobase(?![a-z]).*?(?<![a-z])(?:dot|punkt|point|punto))(?![a-z])"
+    r"|(?<![a-z])(?:at|arobase)(?![a-z]).*?[a-z0-9]\.[a-z]",
+    re.S,
+)
+
+
+def span_features(span: str, before: str, loose: bool, goes_on: bool) -> list[int]:
+    """``loose``: two words stand side by side with no sign between them; ``goes_on``: a sign adjoins the span or is its end."""
     low = span.lower()
     groups = re.findall(r"[0-9]+", span)
     digits = "".join(groups)
     count = len(digits)
     letters = re.search(r"[A-Za-z]", span) is not None
-    spelled_at = re.search(r"[\[({<]\s*at\s*[\])}>]|\s(at|arobase)\s", low) is not None
-    spelled_dot = re.search(r"[\[({<]\s*dot\s*[\])}>]|\s(dot|punkt|point|punto)\s", low) is not None
-    names = ["bias"]
+    spelled_at = re.search(r"[\[({<]\s*(at|arobase)\s*[\])}>]|\s(at|arobase)\s", low) is not None
+    spelled_dot = re.search(r"[\[({<]\s*(dot|punkt|point|punto)\s*[\])}>]|\s(dot|punkt|point|punto)\s", low) is not None
+    # English "at this point in" is prose, so point and punto only go with arobase.
+    at_then_dot = AT_THEN_DOT.search(low) is not None
+    names = ["bias"] + ["at_then_dot"] * at_then_dot
     names += ["at"] * ("@" in span) + ["at_and_dot"] * bool(re.search(r"@.*\.", span)) + ["spelled_at"] * spelled_at + ["spelled_dot"] * spelled_dot
     if len(groups) == 4 and not letters:
         names += ["four_groups"] + ["small_groups"] * all(_small(g) for g in groups)
@@ -133,32 +152,69 @@ def span_features(span: str, before: str) -> list[int]:
     names += ["spaces"] * (" " in span) + ["slash_or_other"] * bool(re.search(r"[^\sA-Za-z0-9.()@+-]", span)) + ["letters_and_digits"] * (letters and count > 0)
     names += ["groups_1" if len(groups) < 2 else "groups_2" if len(groups) == 2 else "groups_3_4" if len(groups) < 5 else "groups_5"]
     names += ["short_last_group"] * (bool(groups) and len(groups[-1]) < 3)
+    names += ["inner_dot"] * (re.search(r"[A-Za-z]\.[A-Za-z]", span) is not None) + ["loose_words"] * loose + ["goes_on"] * goes_on
+    whole_address = at_then_dot and not loose and not goes_on
+    names += ["whole_address"] * whole_address + ["spaced_address"] * (whole_address and " " in span)
+    names += ["prose_word"] * (PROSE_WORD.search(low) is not None)
+    whole_ip = len(groups) == 4 and not letters and not goes_on and all(_small(g) for g in groups)
+    names += ["whole_ip"] * whole_ip + ["hidden_ip"] * (whole_ip and re.search(r"[\[({<]\s*\.|\s\.\s", span) is not None)
+    names += ["whole_card"] * (12 <= count <= 19 and not letters and not goes_on and luhn(digits))
     names += [f"word_{kind}" for kind, words in WORDS.items() if before.lower() in words]
     return [INDEX[name] for name in names]
 
 
+# Segments whose features are held at a time.
+BLOCK = 4096
+
+
+def segment_blocks(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[list[tuple[int, int]], np.ndarray]]:
+    """The candidate segments (first token, token after the last) of a stretch of tokens, in blocks with their features."""
+    segments: list[tuple[int, int]] = []
+    rows: list[list[int]] = []
+
+    def block() -> tuple[list[tuple[int, int]], np.ndarray]:
+        matrix = np.zeros((len(rows), len(FEATURES)))
+        for i, row in enumerate(rows):
+            matrix[i, row] = 1.0
+        return segments, matrix
+
+    words = [text[a:b] for a, b in tokens]
+    marked = [OPENING.search(word) is not None for word in words]
+    joined = [False, *(tokens[i - 1][1] == tokens[i][0] for i in range(1, len(tokens))), False]
+    sign = [MARK.search(word) is not None and not word[0].isdigit() for word in words]
+    for i in range(1, len(words) - 1):
+        sign[i] = sign[i] or (words[i] in "._-" and joined[i] and joined[i + 1] and words[i - 1][0].isalnum() and words[i + 1][0].isalnum())
+    plain = [word[0].isalpha() and not sign[i] for i, word in enumerate(words)]
+    beside = [False, *(plain[i - 1] and plain[i] and not joined[i] for i in range(1, len(words)))]
+    for first in range(len(tokens)):
+        if not (words[first][0].isalnum() or words[first] in "+("):
+            continue
+        some = loose = False
+        for stop in range(first + 1, min(first + MAX_TOKENS, len(tokens)) + 1):
+            some = some or marked[stop - 1]
+            loose = loose or (stop - 1 > first and beside[stop - 1])
+            if some and words[stop - 1][0].isalnum():
+                segments.append((first, stop))
+                before = next((words[i] for i in range(first - 1, max(first - 4, -1), -1) if words[i][0].isalpha()), "")
+                goes_on = (first > 0 and sign[first - 1]) or sign[first] or sign[stop - 1] or (stop < len(tokens) and sign[stop])
+                rows.append(span_features(text[tokens[first][0] : tokens[stop - 1][1]], before, loose, goes_on))
+        if len(rows) >= BLOCK:
+            yield block()
+            segments, rows = [], []
+    yield block()
+
+
 class Region:
-    """A stretch of tokens and its candidate segments."""
+    """A stretch of tokens and its candidate segments, for training."""
 
     def __init__(self, text: str, tokens: list[tuple[int, int]]):
         self.tokens = tokens
         self.segments: list[tuple[int, int]] = []  # first token, token after the last
-        rows: list[list[int]] = []
-        words = [text[a:b] for a, b in tokens]
-        marked = [DIGIT_OR_AT.search(word) is not None or word.lower() in ("at", "arobase") for word in words]
-        for first in range(len(tokens)):
-            if not (words[first][0].isalnum() or words[first] in "+("):
-                continue
-            some = False
-            for stop in range(first + 1, min(first + MAX_TOKENS, len(tokens)) + 1):
-                some = some or marked[stop - 1]
-                if some and words[stop - 1][0].isalnum():
-                    self.segments.append((first, stop))
-                    before = next((words[i] for i in range(first - 1, max(first - 4, -1), -1) if words[i][0].isalpha()), "")
-                    rows.append(span_features(text[tokens[first][0] : tokens[stop - 1][1]], before))
-        self.matrix = np.zeros((len(rows), len(FEATURES)))
-        for i, row in enumerate(rows):
-            self.matrix[i, row] = 1.0
+        blocks = []
+        for segments, matrix in segment_blocks(text, tokens):
+            self.segments += segments
+            blocks.append(matrix)
+        self.matrix = np.concatenate(blocks)
         self.ending: list[list[int]] = [[] for _ in range(len(tokens) + 1)]
         for i, (_, stop) in enumerate(self.segments):
             self.ending[stop].append(i)
@@ -188,50 +244,74 @@ class Region:
                 wanted[i, gold[segment]] = 1.0
         return self.matrix.T @ (wanted - chance)
 
-    def decode(self, weights: np.ndarray) -> list[tuple[int, int, int]]:
-        """The best segmentation: first token, token after the last, kind."""
-        scores = self.matrix @ weights
+
+def decode(text: str, tokens: list[tuple[int, int]], weights: np.ndarray) -> list[tuple[int, int, int]]:
+    """The best segmentation: first token, token after the last, kind. Only segments that clear the margin are held."""
+    ending: dict[int, list[tuple[int, float, int]]] = {}
+    for segments, matrix in segment_blocks(text, tokens):
+        scores = matrix @ weights
         kind, best = scores.argmax(1), scores.max(1)
-        value, back = [0.0], [None]
-        for stop in range(1, len(self.tokens) + 1):
-            top, choice = value[stop - 1], None
-            for i in self.ending[stop]:
-                if best[i] >= MARGIN and value[self.segments[i][0]] + best[i] > top:
-                    top, choice = value[self.segments[i][0]] + best[i], i
-            value.append(top)
-            back.append(choice)
-        found, at = [], len(self.tokens)
-        while at:
-            if back[at] is None:
-                at -= 1
-            else:
-                first, stop = self.segments[back[at]]
-                found.append((first, stop, int(kind[back[at]])))
-                at = first
-        return found[::-1]
+        for i in np.flatnonzero(best >= MARGIN).tolist():
+            first, stop = segments[i]
+            ending.setdefault(stop, []).append((first, float(best[i]), int(kind[i])))
+    if not ending:
+        return []
+    value, back = [0.0], [None]
+    for stop in range(1, len(tokens) + 1):
+        top, choice = value[stop - 1], None
+        for first, score, kind in ending.get(stop, ()):
+            if value[first] + score > top:
+                top, choice = value[first] + score, (first, stop, kind)
+        value.append(top)
+        back.append(choice)
+    found, at = [], len(tokens)
+    while at:
+        if back[at] is None:
+            at -= 1
+        else:
+            found.append(back[at])
+            at = back[at][0]
+    return found[::-1]
+
 
+def regions(text: str, covered: list[Span]) -> Iterator[list[tuple[int, int]]]:
+    """The tokens of each stretch around digits and at signs, written or spelled out, outside of the covered spans.
 
-def regions(text: str, covered: list[Span]) -> Iterator[Region]:
-    """Stretches around digits and at signs outside of the covered spans."""
-    if not DIGIT_OR_AT.search(text):
+    Stretches of a text do not overlap and are never cut: one is as long as its marks are close.
+    """
+    if not OPENING.search(text):
         return
     edges = [0, *(x for start, end, _ in _union(covered) for x in (start, end)), len(text)]
     for low, high in zip(edges[::2], edges[1::2]):
-        if not DIGIT_OR_AT.search(text, low, high):
+        if not OPENING.search(text, low, high):
             continue
-        # Only tokens near a mark are kept: lines of a region are bounded by distance, not by the text.
-        marks = [m.start() for m in DIGIT_OR_AT.finditer(text, low, high)]
-        at = 0
-        while at < len(marks):
-            last = at
-            while last + 1 < len(marks) and marks[last + 1] - marks[last] < 80 and marks[last + 1] - marks[at] < 2000:
-                last += 1
-            a, b = max(low, marks[at] - 60), min(high, marks[last] + 60)
+        # Only tokens near a mark are kept: stretches are bounded by distance, not by the text.
+        stretches: list[tuple[int, int]] = []
+        for mark in MARK.finditer(text, low, high):
+            if stretches and mark.start() - stretches[-1][1] < 2 * CONTEXT_CHARS:
+                stretches[-1] = (stretches[-1][0], mark.end())
+            else:
+                stretches.append((mark.start(), mark.end()))
+        end = low
+        for start, stop in stretches:
+            if not OPENING.search(text, start, stop):
+                continue
+            # Both ends lie on token bounds, and a name with its dots is taken whole.
+            a, b = max(end, start - CONTEXT_CHARS), min(high, stop + CONTEXT_CHARS)
+            while a > end and text[a - 1] in LOCAL:
+                a -= 1
+            while b < high and text[b] in LOCAL:
+                b += 1
+            end = b
             tokens = [m.span() for m in TOKEN.finditer(text, a, b)]
-            near = [i for i, (x, y) in enumerate(tokens) if DIGIT_OR_AT.search(text, x, y)]
-            if near:
-                yield Region(text, tokens[max(0, near[0] - CONTEXT_TOKENS) : near[-1] + CONTEXT_TOKENS + 1])
-            at = last + 1
+            first = next(i for i, (_, y) in enumerate(tokens) if y > start)
+            last = next(i for i in range(len(tokens) - 1, -1, -1) if tokens[i][0] < stop)
+            first, last = max(0, first - CONTEXT_TOKENS), min(len(tokens) - 1, last + CONTEXT_TOKENS)
+            while first and tokens[first - 1][1] == tokens[first][0]:
+                first -= 1
+            while last + 1 < len(tokens) and tokens[last + 1][0] == tokens[last][1]:
+                last += 1
+            yield tokens[first : last + 1]
 
 
 def _union(spans: list[Span]) -> list[Span]:
@@ -244,12 +324,42 @@ def _union(spans: list[Span]) -> list[Span]:
     return out
 
 
-def added_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
-    return [
-        (region.tokens[first][0], region.tokens[stop - 1][1], KINDS[kind])
-        for region in regions(text, base)
-        for first, stop, kind in region.decode(weights)
-    ]
+# What the features see of a stretch without digits: its signs, its announcing words, and where other words are.
+PART = re.compile(r"[A-Za-z]+|[^\x00-\x7F]")
+SEEN = frozenset([*SPELLED_AT, *SPELLED_DOT, *PROSE_WORDS, *(word for words in WORDS.values() for word in words)])
+SHAPES = 100_000
+
+
+def shape(text: str) -> str:
+    """A text without digits with all words that the features do not tell apart replaced by one."""
+
+    def part(match: re.Match) -> str:
+        if match[0].isascii():
+            word = match[0].lower()
+            return word if word in SEEN else "w"
+        return "\u00e9" if match[0].isalnum() else match[0]
+
+    return PART.sub(part, text)
+
+
+def added_spans(text: str, base: list[Span], weights: np.ndarray, known: dict[str, list] | None = None) -> list[Span]:
+    """``known`` holds what was decoded for shapes seen before, so a common shape is decoded once."""
+    known = {} if known is None else known
+    found = []
+    for tokens in regions(text, base):
+        low, high = tokens[0][0], tokens[-1][1]
+        own = text[low:high]
+        if any(c in "0123456789" for c in own):
+            spans = decode(text, tokens, weights)
+        else:
+            own = shape(own)
+            spans = known.get(own)
+            if spans is None:
+                spans = decode(own, [m.span() for m in TOKEN.finditer(own)], weights)
+                if len(known) < SHAPES:
+                    known[own] = spans
+        found += [(tokens[first][0], tokens[stop - 1][1], KINDS[kind]) for first, stop, kind in spans]
+    return found
 
 
 # ---- training
@@ -262,8 +372,10 @@ def _generated(rng: random.Random) -> list[tuple[str, str]]:
     card = "4" + digits(14)
     card += next(d for d in "0123456789" if luhn(card + d))
     name = "".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(3, 8)))
+    other = "".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(3, 8)))
     return [
         (f"{name}.{digits(2)}@{name}{digits(1)}.example.com", "email"),
+        (rng.choice([f"{name}@{other}.com", f"{name}.{other}@example.org", f"{name}@mail.{other}.net"]), "email"),
         (".".join(str(rng.randint(1, 255)) for _ in range(4)), "ip"),
         (card, "card"),
         (f"+{rng.randint(1, 99)} ({digits(3)}) {digits(3)}-{digits(4)}", "phone"),
@@ -273,15 +385,25 @@ def _generated(rng: random.Random) -> list[tuple[str, str]]:
 def _rewritten(span: str, kind: str, rng: random.Random) -> list[str]:
     """Other spellings of a span that the patterns miss."""
     if kind == "email":
-        at, dot = rng.choice([(" at ", " dot "), ("(at)", "(dot)"), ("[at]", "."), (" [at] ", " [dot] ")])
-        return [span.replace("@", at).replace(".", dot)]
+        signs = [(" at ", " dot "), ("(at)", "(dot)"), ("[at]", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), (" arobase ", " point ")]
+        written = [span.replace(".", dot).replace("@", at) for at, dot in signs]
+        name, host = span.split("@")
+        return [*written, name + rng.choice([" at ", " (at) "]) + host]
     if kind == "phone":
         plain = re.sub(r"^\+[0-9]{1,3}[\x20.-]*", "", span)
         return [plain, "00" + span[1:], plain.replace("(", "").replace(") ", "-")]
     if kind == "card":
         number = re.sub(r"[^0-9]", "", span)
         return [rng.choice([".", "/", "  "]).join(number[i : i + 4] for i in range(0, len(number), 4))]
-    return [span.replace(".", rng.choice(["[.]", " . "]))]
+    return [span.replace(".", dot) for dot in ("[.]", " . ", "(.)")]
+
+
+# How at signs and dots occur in prose.
+PROSE = [
+    "at noon", "at the station. then", "see me at work (at night) or", "at home, dot", "to the point", "at this point", "the dot at the end",
+    "was at work. at night", "at best", "good at it", "at last. the", "at most", "a point at the top", "is at the point where",
+    "look at this point in time", "looked at the dot on the map", "aimed at that dot in front", "came at a point of",
+]
 
 
 def _lookalikes(rng: random.Random) -> list[str]:
@@ -306,6 +428,8 @@ def _lookalikes(rng: random.Random) -> list[str]:
         code.upper(),
         f"@{digits(3)}",
         f"{digits(3)} {digits(3)} {digits(2)}",
+        rng.choice(PROSE),
+        rng.choice(PROSE),
     ]
 
 
@@ -313,12 +437,14 @@ def train(examples: list[tuple[str, int, int, str]], seed: int = 5) -> np.ndarra
     """Weights (features x kinds) from (snippet, start, end, kind) of base spans."""
     rng = random.Random(seed)
     fill = "the of and to in is it that was for on are with as at be by from dot or an this have point".split()
+    beside = [word for word in fill if not MARK.search(word)]
 
     def around(span: str, kind: str) -> tuple[str, int, int, str]:
-        left = " ".join(rng.choice(fill) for _ in range(rng.randint(1, 4)))
+        # Next to a span no word is a sign, which could be a part of it.
+        left = " ".join([*(rng.choice(fill) for _ in range(rng.randint(0, 3))), rng.choice(beside)])
         if rng.random() < 0.15 and kind:
             left += " " + rng.choice(WORDS["mail" if kind == "email" else kind])
-        return f"{left} {span} {' '.join(rng.choice(fill) for _ in range(3))}", len(left) + 1, len(left) + 1 + len(span), kind
+        return f"{left} {span} {' '.join(rng.choice(words) for words in (beside, fill, fill))}", len(left) + 1, len(left) + 1 + len(span), kind
 
     rows = list(examples)
     while len(rows) < SAMPLE:
@@ -376,12 +502,13 @@ def find_spans(docs: DataFrame) -> DataFrame:
     arrow = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list] = {}
         for batch in batches:
             base, added = [], []
             for text in batch.column("text").to_pylist():
                 own = base_spans(text or "")
                 base.append([{"start": a, "end": b, "kind": k} for a, b, k in own])
-                more = sorted(added_spans(text or "", own, weights), key=lambda s: (s[0], KINDS.index(s[2])))
+                more = sorted(added_spans(text or "", own, weights, known), key=lambda s: (s[0], KINDS.index(s[2])))
                 added.append([{"start": a, "end": b, "kind": k} for a, b, k in more])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(base, arrow), pa.array(added, arrow)], names=["doc_id", "base", "added"]
