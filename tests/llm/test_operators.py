@@ -352,3 +352,16 @@ def test_spelled_out_addresses_without_digits(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     rows = {r.doc_id: [(texts[r.doc_id][s.start : s.end], s.kind) for s in r.added] for r in pii.find_spans(docs).collect()}
     assert rows == {0: [("jane at example dot com", "email")], 1: [("jane.doe (at) example (dot) com", "email")], 2: [], 3: []}
+
+
+def test_long_spans_are_candidates(weights, monkeypatch):
+    for span, kind in [
+        ("192[.]168[.]1[.]1", "ip"),
+        ("bob(dot)smith(at)example(dot)com", "email"),
+        ("first [dot] last [at] sub [dot] example [dot] com", "email"),
+        ("4/1/1/1/1/1/1/1/1/1/1/1/1/1/1/1", "card"),
+    ]:
+        assert added(f"see {span} there", weights) == [(span, kind)]
+    monkeypatch.setattr(pii, "MAX_TOKENS", 3)
+    with pytest.raises(ValueError):
+        pii.train([])

@@ -31,7 +31,10 @@ KINDS = ["email", "ip", "card", "phone"]
 Span = tuple[int, int, str]  # start, end, kind
 
 SAMPLE = 100
-MAX_TOKENS = 12
+# A card number of 19 single digits with a separator after each has 37 tokens. Segments in which two words
+# stand side by side are prose beyond LOOSE_TOKENS.
+MAX_TOKENS = 40
+LOOSE_TOKENS = 12
 CONTEXT_TOKENS = 6
 CONTEXT_CHARS = 60
 MARGIN = 2.0
@@ -49,7 +52,9 @@ SPELLED_DOT = ("dot", "punkt", "point", "punto")
 # What opens a region, and what also carries it on: spelled-out dots.
 OPENING = re.compile(rf"[0-9@]|(?<![A-Za-z])(?:{'|'.join(SPELLED_AT)})(?![A-Za-z])", re.I | re.A)
 MARK = re.compile(rf"[0-9@]|(?<![A-Za-z])(?:{'|'.join(SPELLED_AT + SPELLED_DOT)})(?![A-Za-z])", re.I | re.A)
-TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
+# A sign in brackets is one token.
+BRACKETED = rf"[\[({{<]\s*(?:{'|'.join(SPELLED_AT + SPELLED_DOT)}|[.@])\s*[\])}}>]"
+TOKEN = re.compile(rf"{BRACKETED}|[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]", re.I | re.A)
 
 
 def luhn(digits: str) -> bool:
@@ -193,6 +198,8 @@ def segment_blocks(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[l
         for stop in range(first + 1, min(first + MAX_TOKENS, len(tokens)) + 1):
             some = some or marked[stop - 1]
             loose = loose or (stop - 1 > first and beside[stop - 1])
+            if loose and stop - first > LOOSE_TOKENS:
+                break
             if some and words[stop - 1][0].isalnum():
                 segments.append((first, stop))
                 before = next((words[i] for i in range(first - 1, max(first - 4, -1), -1) if words[i][0].isalpha()), "")
@@ -390,11 +397,12 @@ def _rewritten(span: str, kind: str, rng: random.Random) -> list[str]:
         name, host = span.split("@")
         return [*written, name + rng.choice([" at ", " (at) "]) + host]
     if kind == "phone":
-        plain = re.sub(r"^\+[0-9]{1,3}[\x20.-]*", "", span)
-        return [plain, "00" + span[1:], plain.replace("(", "").replace(") ", "-")]
+        plain = re.sub(r"^\+[0-9]{1,3}[^0-9(]*", "", span)
+        return [plain, "00" + span[1:], plain.replace("(", "").replace(") ", "-").lstrip("\x20).-")]
     if kind == "card":
         number = re.sub(r"[^0-9]", "", span)
-        return [rng.choice([".", "/", "  "]).join(number[i : i + 4] for i in range(0, len(number), 4))]
+        grouped = rng.choice([".", "/", "  "]).join(number[i : i + 4] for i in range(0, len(number), 4))
+        return [grouped, rng.choice([".", "/", "  "]).join(number)]
     return [span.replace(".", dot) for dot in ("[.]", " . ", "(.)")]
 
 
@@ -433,6 +441,12 @@ def _lookalikes(rng: random.Random) -> list[str]:
     ]
 
 
+def holds(snippet: str, start: int, end: int) -> bool:
+    """Whether a segment can hold this span: not so if it starts or ends with a sign such as _ or has too many tokens."""
+    tokens = TOKEN.findall(snippet, start, end)
+    return 0 < len(tokens) <= MAX_TOKENS and (tokens[0][0].isalnum() or tokens[0] in "+(") and tokens[-1][0].isalnum()
+
+
 def train(examples: list[tuple[str, int, int, str]], seed: int = 5) -> np.ndarray:
     """Weights (features x kinds) from (snippet, start, end, kind) of base spans."""
     rng = random.Random(seed)
@@ -446,7 +460,7 @@ def train(examples: list[tuple[str, int, int, str]], seed: int = 5) -> np.ndarra
             left += " " + rng.choice(WORDS["mail" if kind == "email" else kind])
         return f"{left} {span} {' '.join(rng.choice(words) for words in (beside, fill, fill))}", len(left) + 1, len(left) + 1 + len(span), kind
 
-    rows = list(examples)
+    rows = [(snippet, start, end, kind) for snippet, start, end, kind in examples if holds(snippet, start, end)]
     while len(rows) < SAMPLE:
         rows += [around(span, kind) for span, kind in _generated(rng)]
     for snippet, start, end, kind in list(rows):
@@ -461,8 +475,9 @@ def train(examples: list[tuple[str, int, int, str]], seed: int = 5) -> np.ndarra
         region = Region(snippet, tokens)
         inside = [i for i, (a, b) in enumerate(tokens) if a >= start and b <= end]
         gold = {(inside[0], inside[-1] + 1): KINDS.index(kind)} if kind and inside else {}
-        if set(gold) <= set(region.segments):
-            prepared.append((region, gold))
+        if not set(gold) <= set(region.segments):
+            raise ValueError(f"no segment holds the {kind} of {end - start} characters in a training example")
+        prepared.append((region, gold))
     weights = np.zeros((len(FEATURES), len(KINDS)))
     weights[0] = -2.0
     moment = np.zeros_like(weights)
@@ -481,7 +496,7 @@ def training_spans(docs: DataFrame) -> list[tuple[str, int, int, str]]:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 for start, end, kind in base_spans(text or ""):
-                    if end - start <= 60:
+                    if end - start <= 60 and holds(text, start, end):
                         low = max(0, start - 60)
                         mark = hashlib.sha256(f"{doc_id}/{start}/{kind}".encode()).hexdigest()
                         rows.append((mark, text[low : end + 60], start - low, end - low, kind))
