@@ -365,3 +365,14 @@ def test_long_spans_are_candidates(weights, monkeypatch):
     monkeypatch.setattr(pii, "MAX_TOKENS", 3)
     with pytest.raises(ValueError):
         pii.train([])
+
+
+def test_rare_kinds_are_learnt(spark):
+    rows = [(i, f"mail user{i % 90}.x@host{i}.example.com today") for i in range(150)] + [(1000 + i, "mail one.copy@example.com") for i in range(200)]
+    rows += [(2000, "ring +49 (30) 555-2485 now"), (2001, "call (988) 555-2485 today")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    sample = pii.training_spans(docs)
+    spans = [(text[start:end], kind) for text, start, end, kind in sample]
+    assert len(set(spans)) == len(spans) and ("+49 (30) 555-2485", "phone") in spans
+    assert sum(kind == "email" for _, kind in spans) == pii.SAMPLE // len(pii.KINDS)
+    assert added(rows[-1][1], pii.train(sample)) == [("(988) 555-2485", "phone")]

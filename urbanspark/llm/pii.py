@@ -6,10 +6,10 @@ segments of up to ``MAX_TOKENS`` tokens by features of the whole span (digits, g
 spelled-out signs, the word before). Dynamic programming picks boundaries and types jointly; what it finds beside the base
 spans is added if its score clears ``MARGIN``.
 
-Training: at most ``SAMPLE`` base spans with their surroundings, those with the smallest hash of id and place, and
-rewritten forms of them (spelled-out signs, other separators, no plus sign) as positives; look-alikes that fail
-the checks as negatives. Generated spans fill up where a corpus has few. The CRF's likelihood is maximised by gradient ascent
-on the driver; the fitted weights are a few kilobytes.
+Training: base spans with their surroundings, an equal part of ``SAMPLE`` for each kind, those of distinct texts with the
+smallest hashes; generated spans of all kinds, whatever the corpus has; and rewritten forms of both (spelled-out signs,
+other separators, no plus sign) as positives; look-alikes that fail the checks as negatives. The CRF's likelihood is
+maximised by gradient ascent on the driver; the fitted weights are a few kilobytes.
 
 Defined results: a null text is empty and has no spans; spans are in code points, end exclusive; repeated rows are searched
 each; an empty table gives no rows.
@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbanspark.operators.tables import materialize
+
 KINDS = ["email", "ip", "card", "phone"]
 Span = tuple[int, int, str]  # start, end, kind
 
@@ -461,7 +463,7 @@ def train(examples: list[tuple[str, int, int, str]], seed: int = 5) -> np.ndarra
         return f"{left} {span} {' '.join(rng.choice(words) for words in (beside, fill, fill))}", len(left) + 1, len(left) + 1 + len(span), kind
 
     rows = [(snippet, start, end, kind) for snippet, start, end, kind in examples if holds(snippet, start, end)]
-    while len(rows) < SAMPLE:
+    for _ in range(SAMPLE // len(KINDS)):
         rows += [around(span, kind) for span, kind in _generated(rng)]
     for snippet, start, end, kind in list(rows):
         for other in _rewritten(snippet[start:end], kind, rng):
@@ -489,25 +491,32 @@ def train(examples: list[tuple[str, int, int, str]], seed: int = 5) -> np.ndarra
 
 
 def training_spans(docs: DataFrame) -> list[tuple[str, int, int, str]]:
-    """SAMPLE base spans with 60 characters around them: those with the smallest hashes."""
+    """Of each kind its part of SAMPLE base spans of distinct texts, with 60 characters around them: the smallest hashes."""
+    part = SAMPLE // len(KINDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[str, dict[str, tuple[str, int, int]]] = {kind: {} for kind in KINDS}
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for text in batch.column("text").to_pylist():
                 for start, end, kind in base_spans(text or ""):
                     if end - start <= 60 and holds(text, start, end):
                         low = max(0, start - 60)
-                        mark = hashlib.sha256(f"{doc_id}/{start}/{kind}".encode()).hexdigest()
-                        rows.append((mark, text[low : end + 60], start - low, end - low, kind))
-            rows = sorted(rows)[:SAMPLE]
-            columns = list(zip(*rows)) or [[]] * 5
-            kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["mark", "snippet", "start", "end", "kind"])
-
-    found = docs.select("doc_id", "text").mapInArrow(run, "mark string, snippet string, start int, end int, kind string")
-    chosen = found.orderBy("mark", "snippet").limit(SAMPLE).collect()
-    return [(row["snippet"], row["start"], row["end"], row["kind"]) for row in chosen]
+                        mark = hashlib.sha256(text[start:end].encode()).hexdigest()
+                        row = (text[low : end + 60], start - low, end - low)
+                        least[kind][mark] = min(row, least[kind].get(mark, row))
+            least = {kind: dict(sorted(found.items())[:part]) for kind, found in least.items()}
+        rows = [(mark, *row, kind) for kind, found in least.items() for mark, row in found.items()]
+        columns = list(zip(*rows)) or [[]] * 5
+        kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["mark", "snippet", "start", "end", "kind"])
+
+    found = docs.select("text").mapInArrow(run, "mark string, snippet string, start int, end int, kind string")
+    found = materialize(found, "training-spans")
+    chosen = []
+    for kind in KINDS:
+        own = found.filter(F.col("kind") == kind).groupBy("mark").agg(F.min(F.struct("snippet", "start", "end")).alias("row"))
+        chosen += [(*row["row"], kind) for row in own.orderBy("mark").limit(part).collect()]
+    return chosen
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
