@@ -376,3 +376,9 @@ def test_rare_kinds_are_learnt(spark):
     assert len(set(spans)) == len(spans) and ("+49 (30) 555-2485", "phone") in spans
     assert sum(kind == "email" for _, kind in spans) == pii.SAMPLE // len(pii.KINDS)
     assert added(rows[-1][1], pii.train(sample)) == [("(988) 555-2485", "phone")]
+
+
+def test_dense_numbers_are_cut_nowhere(weights):
+    text = ", ".join(f"(988) 555-{i:04d}" for i in range(2000, 2400))
+    found = added(text, weights)
+    assert found == [(f"(988) 555-{i:04d}", "phone") for i in range(2000, 2400)]
