@@ -382,3 +382,11 @@ def test_dense_numbers_are_cut_nowhere(weights):
     text = ", ".join(f"(988) 555-{i:04d}" for i in range(2000, 2400))
     found = added(text, weights)
     assert found == [(f"(988) 555-{i:04d}", "phone") for i in range(2000, 2400)]
+
+
+def test_one_per_component_keeps_unique_texts_of_one_id(spark):
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(5, "some quite unlike words stand here"), (5, near + " end"), (3, near), (7, "first of two"), (7, "second of two"), (8, ""), (8, "eight")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted((r["doc_id"], r["text"]) for r in ngram_join.one_per_component(docs).collect())
+    assert kept == sorted([rows[0], *rows[2:]])

@@ -90,8 +90,14 @@ def needed(n: Column) -> Column:
     return F.floor((n * 3 + 3) / 4)
 
 
-def set_table(docs: DataFrame) -> DataFrame:
-    """doc_id, n, name and id of the set of every row, written once."""
+def text_key() -> Column:
+    """Names the text of a row; null for a null text."""
+    return F.unhex(F.md5("text"))
+
+
+def set_table(docs: DataFrame, with_key: bool = False) -> DataFrame:
+    """doc_id, n, name and id of the set of every row, written once; ``with_key`` adds the key of its text."""
+    more = ["key"] if with_key else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,9 +106,12 @@ def set_table(docs: DataFrame) -> DataFrame:
                 own = batch.column("doc_id").slice(part.low, len(found))
                 names = [set_name(s) for s in found]
                 columns = [own, pa.array([len(s) for s in found], pa.int64()), pa.array(names, pa.binary()), pa.array(set_ids(names))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "name", "id"])
+                columns += [batch.column(c).slice(part.low, len(found)) for c in more]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "name", "id", *more])
 
-    return materialize(docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, name binary, id bigint"), "shingle-sets")
+    schema = "doc_id bigint, n bigint, name binary, id bigint" + ", key binary" * with_key
+    read = docs.select("doc_id", "text", *[text_key().alias(c) for c in more])
+    return materialize(read.mapInArrow(run, schema), "shingle-sets")
 
 
 # ---- shingles held by one owner only
@@ -450,16 +459,21 @@ def _merge(owned: DataFrame, edges: DataFrame) -> DataFrame:
     return materialize(owned.join(joined, "owner", "left").select("id", F.coalesce("component", "owner").alias("owner")), "owners")
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles and component_id."""
-    table = set_table(docs)
+def set_classes(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """name of every set with shingles, least doc_id of its rows, and the owner its whole component shares."""
     sets = candidate_sets(docs, table)
     owned = similar_groups(sets)
     owned = _merge(owned, links_of_leaders(sets.join(owned.filter("id = owner"), "id")))
     owned = _merge(owned, links_of_members(sets, owned))
-    alone = table.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     least = table.filter("n > 0").groupBy("name", "id").agg(F.min("doc_id").alias("least"))
-    classes = materialize(least.join(owned, "id", "left").withColumn("owner", F.coalesce("owner", "id")), "classes")
+    return materialize(least.join(owned, "id", "left").withColumn("owner", F.coalesce("owner", "id")), "classes")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles and component_id."""
+    table = set_table(docs)
+    classes = set_classes(docs, table)
+    alone = table.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     ids = classes.groupBy("owner").agg(F.min("least").alias("component_id"))
     by_set = classes.join(ids, "owner").select("name", "component_id")
     rows = table.filter("n > 0").join(by_set, "name").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -467,16 +481,23 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest doc_id.
+    """The rows of ``docs`` that stay: of each component the one with the smallest doc_id, ties by a hash of the text.
 
-    Of rows that share that id one stays. Rows of a component without any id all stay.
+    Components are known by their sets, so rows of different components that share an id all stay. Rows without
+    shingles and rows of a component without any id all stay.
     """
-    kept = near_copies(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__doc_id")).distinct()
-    # The rank needs no second shuffle of the texts, as the plain join already deals them by id.
-    joined = docs.join(kept, F.col("doc_id") == F.col("__doc_id"))
-    rank = F.row_number().over(Window.partitionBy("__doc_id").orderBy("text"))
-    known = joined.withColumn("__rank", rank).filter("__rank = 1")
-    without = broadcast_within(kept.filter("__doc_id IS NULL"), 1)
-    unknown = docs.filter("doc_id IS NULL").join(without, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_semi")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return known.select(*columns).unionByName(unknown.select(*columns))
+    table = set_table(docs, with_key=True)
+    classes = set_classes(docs, table)
+    rows = table.filter("n > 0").join(classes.select("name", "owner"), "name")
+    least = rows.filter("doc_id IS NOT NULL").groupBy("owner").agg(F.min(F.struct("doc_id", "key")).alias("row"))
+    single = least.select("row.doc_id", "row.key", F.lit(True).alias("__single"))
+    without = rows.join(least.select("owner"), "owner", "left_anti").unionByName(table.filter("n = 0"), allowMissingColumns=True)
+    kept = single.unionByName(without.select("doc_id", "key").distinct().withColumn("__single", F.lit(False)))
+    # A null text has a null key. All key columns are not null, so the rank needs no second shuffle of the texts.
+    none = F.unhex(F.lit(""))
+    place = {"__id": F.coalesce("doc_id", F.lit(0)), "__no_id": F.isnull("doc_id"), "__key": F.coalesce("key", none)}
+    kept = kept.withColumns(place).select(*place, "__single")
+    own = docs.withColumns({**place, "__key": F.coalesce(text_key(), none)}).join(kept, list(place))
+    rank = F.row_number().over(Window.partitionBy(*place).orderBy(F.lit(0)))
+    stay = own.withColumn("__rank", rank).filter("NOT __single OR __rank = 1")
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
