@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanspark.llm import chat, exact_dedup, mixing, ngram_join, packing, pii, quality_model, quality_rules, token_counts, url_rules
+from urbanspark.llm import chat, exact_dedup, mixing, ngram_join, packing, pii, quality_model, quality_rules, sharding, token_counts, url_rules
 from urbanspark.operators.tables import inline_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -75,6 +75,10 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(pii.find_spans(table(spark, sf_dir, "documents")))
 
 
+def shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix,
     "op2_pack_sequences": pack,
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_rules": judge_urls,
     "op9_quality_rules": quality_verdicts,
     "op10_personal_data": personal_data,
+    "op12_feistel_shards": shard,
 }
 
 EXACT_DEDUP_SQL = r"""
@@ -136,4 +141,5 @@ SQL: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP_SQL,
     "op5_chat_format": CHAT_SQL,
     "op8_url_rules": URL_RULES_SQL,
+    "op12_feistel_shards": sharding.assign_sql(),
 }
