@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanspark.llm import chat, exact_dedup, mixing, ngram_join, packing, pii, quality_model, quality_rules, sharding, token_counts, url_rules
+from urbanspark.llm import (
+    chat,
+    exact_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    sharding,
+    spelling,
+    token_counts,
+    url_rules,
+)
 from urbanspark.operators.tables import inline_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -79,6 +92,10 @@ def shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def group_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix,
     "op2_pack_sequences": pack,
@@ -91,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": quality_verdicts,
     "op10_personal_data": personal_data,
     "op12_feistel_shards": shard,
+    "op13_spelling_variants": group_spellings,
 }
 
 EXACT_DEDUP_SQL = r"""
@@ -142,4 +160,5 @@ SQL: dict[str, str] = {
     "op5_chat_format": CHAT_SQL,
     "op8_url_rules": URL_RULES_SQL,
     "op12_feistel_shards": sharding.assign_sql(),
+    "op13_spelling_variants": spelling.spelling_sql(sharding.crc32_sql),
 }
