@@ -14,6 +14,7 @@ from urbanspark.llm import (
     mixing,
     ngram_join,
     packing,
+    phrases,
     pii,
     quality_model,
     quality_rules,
@@ -88,6 +89,10 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(pii.find_spans(table(spark, sf_dir, "documents")))
 
 
+def mine_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_rules": judge_urls,
     "op9_quality_rules": quality_verdicts,
     "op10_personal_data": personal_data,
+    "op11_phrase_mining": mine_phrases,
     "op12_feistel_shards": shard,
     "op13_spelling_variants": group_spellings,
 }
@@ -159,6 +165,7 @@ SQL: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP_SQL,
     "op5_chat_format": CHAT_SQL,
     "op8_url_rules": URL_RULES_SQL,
+    "op11_phrase_mining": phrases.collocation_sql(),
     "op12_feistel_shards": sharding.assign_sql(),
     "op13_spelling_variants": spelling.spelling_sql(sharding.crc32_sql),
 }

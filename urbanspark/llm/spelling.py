@@ -118,6 +118,10 @@ def grow(vectors: np.ndarray, cells: int, numbers: Iterator[int]) -> Node | int:
     return (*split, grow(vectors[low], share, numbers), grow(vectors[~low], cells - share, numbers))
 
 
+def n_cells(tree: Node | int) -> int:
+    return n_cells(tree[2]) + n_cells(tree[3]) if isinstance(tree, tuple) else 1
+
+
 def reached(tree: Node | int, vectors: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each cell the rows whose ball reaches its box. The way down keeps, per row, the offset in each dimension crossed."""
 
@@ -328,7 +332,9 @@ def search(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
     """Per word with near words: their number, the count of the most frequent and that word."""
-    trees = words.sparkSession.sparkContext.broadcast(fit_cells(words, cell_words))  # at most SAMPLE_WORDS / 4 cells
+    fitted = fit_cells(words, cell_words)  # at most SAMPLE_WORDS / 4 cells
+    trees = words.sparkSession.sparkContext.broadcast(fitted)
+    tasks = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * sum(map(n_cells, fitted.values())))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,7 +346,7 @@ def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_pydict(rows)
 
     routed = words.mapInArrow(spread, ROUTED)
-    partial = routed.repartition("length", "cell").sortWithinPartitions("length", "cell", "kind").mapInArrow(found, PARTIAL)
+    partial = routed.repartition(tasks, "length", "cell").sortWithinPartitions("length", "cell", "kind").mapInArrow(found, PARTIAL)
     best = F.min(F.struct((-F.col("near_n")).alias("order"), F.col("near_word").alias("near_word")))
     summed = partial.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best"))
     return summed.select("word", "n_near", (-F.col("best.order")).alias("near_n"), F.col("best.near_word").alias("near_word"))
