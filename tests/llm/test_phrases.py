@@ -79,15 +79,15 @@ def all_counts(table):
 
 
 def test_misses_of_the_sample_are_found(docs):
-    """Whatever was proposed, the result is the same; a full proposal needs one pass, none needs one per length."""
-    found, passes = phrases.frequent(docs, 30)
+    """Whatever was proposed, the result is the same: no further pass after a full proposal, one after any other."""
+    by_length, passes = phrases.frequent(docs, 30, ahead=False)
     assert passes == 4
-    everything = found.select("lang", "words", "phrase").filter("words < 4")
+    everything = phrases.proper_parts(by_length, 4)
     again, once = phrases.frequent(docs, 30, everything)
-    assert once == 1 and all_counts(again) == all_counts(found)
-    half = everything.filter("words = 1 AND hash(phrase) % 2 = 0")
-    repaired, more = phrases.frequent(docs, 30, half)
-    assert 1 < more <= 4 and all_counts(repaired) == all_counts(found)
+    assert once == 1 and all_counts(again) == all_counts(by_length)
+    for some in (everything.filter("words = 1 AND hash(phrase) % 2 = 0"), everything.filter("words = 1 OR lang = 'es'"), None):
+        repaired, more = phrases.frequent(docs, 30, some)
+        assert more == 2 and all_counts(repaired) == all_counts(by_length)
 
 
 def test_a_full_filter_loses_nothing(docs, monkeypatch):

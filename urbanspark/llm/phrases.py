@@ -3,9 +3,9 @@
 A phrase that comes often holds only phrases that come at least as often. So a sample of the documents, mined with a lowered
 threshold, proposes a set that is closed under parts. One pass over all documents then counts, exactly, every phrase of this set and its
 negative border: phrases outside the set whose first part and last part, one word shorter each, lie inside. A
-border phrase that turns out frequent means that the sample missed it; then the set grows by all that was missed, and a further pass counts
-what now has both parts inside and had not before. When a pass finds nothing new, all frequent phrases are counted; with
-phrases of at most four words this takes at most four passes.
+border phrase that turns out frequent means that the sample missed it. Then the set grows by what was found, and a further pass counts what
+now has both parts inside and had not before; parts that nobody has counted yet count as inside, so one such pass reaches through all
+lengths. When a pass finds nothing that the last set and its unknown extensions do not cover, all frequent phrases are counted.
 
 The set is held as a Bloom filter of bounded size, built by Spark's bitmap aggregates. It answers "inside" for all phrases of the set and
 for a few others; those are counted for nothing and fall below the threshold, so results do not depend on it. With more
@@ -40,7 +40,7 @@ SCALE = 2_000_000
 NO_LANG = "und"
 # The sample takes one in SAMPLE_EVERY documents; its threshold is LEAST / SAMPLE_EVERY times SLACK, rounded down.
 SAMPLE_EVERY, SLACK = 8, 0.6
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 MAX_FILTER_BITS, BITS_PER_PHRASE, PROBES = 1 << 28, 16, 3
 BITMAP_BITS = 32_768  # of Spark's bitmap aggregates
 
@@ -148,8 +148,13 @@ def spelled(part: Slice, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data))
 
 
-def counted_slice(part: Slice, langs: np.ndarray, old: Known | None, new: Known) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
-    """(words, text of the first one, phrase, count) of what ``new`` lets through and ``old`` did not; ``old`` None: nothing was counted yet."""
+def counted_slice(
+    part: Slice, langs: np.ndarray, old: Known | None, new: Known, longest: int = LONGEST, ahead: bool = False
+) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
+    """(words, text of the first one, phrase, count) of what ``new`` lets through and ``old`` did not; ``old`` None: nothing was counted yet.
+
+    ``ahead``: phrases that were not counted before may be part of a longer one, as nothing is known against them.
+    """
     starts, ends, owner, words = word_hashes(part, langs)
     if not len(words):
         return
@@ -159,40 +164,45 @@ def counted_slice(part: Slice, langs: np.ndarray, old: Known | None, new: Known)
     _, first, word = np.unique(words, return_index=True, return_inverse=True)
     text = spelled(part, starts[first], ends[first])
     distinct = words[first]
-    inside = {"new": new.has(distinct)[word], "old": None if old is None else old.has(distinct)[word]}
     if old is None:
         yield 1, owner[first], text, np.bincount(word, minlength=len(first))
+    # ``may``: can be part of a longer phrase; ``was``: was inside the old set, so what it is part of may have been counted.
+    may, was = new.has(distinct)[word], np.zeros(len(word), bool) if old is None else old.has(distinct)[word]
     hashes, whole = words, np.ones(len(words), bool)
-    for size in range(2, LONGEST + 1):
+    for size in range(2, longest + 1):
         n = len(words) - size + 1
         if n <= 0:
             return
         whole = whole[:n] & goes_on[size - 2 : size - 2 + n]
         hashes = longer(hashes[:n], words[size - 1 :])
-        wanted = whole & inside["new"][:n] & inside["new"][1 : n + 1]
+        wanted = whole & may[:n] & may[1 : n + 1]
         if not wanted.any():
             return
-        if old is not None:
-            fresh = wanted & ~(inside["old"][:n] & inside["old"][1 : n + 1])
-        else:
-            fresh = wanted
-        at = np.flatnonzero(fresh)
+        before = whole & was[:n] & was[1 : n + 1]
+        at = np.flatnonzero(wanted & ~before)
         if len(at):
             _, pick, count = np.unique(hashes[at], return_index=True, return_counts=True)
             at = at[pick]
             phrase = pc.binary_join_element_wise(*[text.take(pa.array(word[at + i])) for i in range(size)], pa.scalar(" ", pa.large_string()))
             yield size, owner[at], phrase, count
+        if size == longest:
+            return
         # A phrase is inside only if its parts are: a filter alone would sometimes say so of others.
-        for name, known in (("new", new), ("old", old)):
-            if known is not None:
-                at = np.flatnonzero(whole & inside[name][:n] & inside[name][1 : n + 1])
-                here = np.zeros(n, bool)
-                here[at] = known.has(hashes[at])
-                inside[name] = here
+        may, was = np.zeros(n, bool), np.zeros(n, bool)
+        at = np.flatnonzero(wanted)
+        may[at] = new.has(hashes[at])
+        if ahead:
+            may |= wanted & ~before
+        if old is not None:
+            at = np.flatnonzero(before)
+            was[at] = old.has(hashes[at])
 
 
-def counts(docs: DataFrame, old: Known | None, new: Known, least: int) -> DataFrame:
-    """One pass: counts of phrases that come at least ``least`` times, in one written table."""
+def counts(docs: DataFrame, old: Known | None, new: Known, least: int, longest: int = LONGEST, ahead: bool = False) -> DataFrame:
+    """One pass: counts of phrases that come at least ``least`` times, in one written table.
+
+    The first pass adds a row of 0 words for each language, with the number of all its words.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((old, new))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +212,14 @@ def counts(docs: DataFrame, old: Known | None, new: Known, least: int) -> DataFr
             hashes = lang_hashes(lang)
             for part in slices(batch["text"], SLICE_BYTES):
                 own = lang.slice(part.low, part.high - part.low)
-                for size, text_of, phrase, n in counted_slice(part, hashes[part.low : part.high], old, new):
+                for size, text_of, phrase, n in counted_slice(part, hashes[part.low : part.high], old, new, longest, ahead):
+                    if size == 1:
+                        everything = pa.table({"lang": own.take(pa.array(text_of)), "f": n}).group_by("lang").aggregate([("f", "sum")])
+                        zero = [everything["lang"].combine_chunks(), np.zeros(len(everything), np.int32), [""] * len(everything)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(zero[0]), pa.array(zero[1]), pa.array(zero[2], pa.string()), everything["f_sum"].combine_chunks().cast(pa.int64())],
+                            ["lang", "words", "phrase", "f"],
+                        )
                     yield pa.RecordBatch.from_arrays(
                         [
                             own.take(pa.array(text_of)),
@@ -215,10 +232,10 @@ def counts(docs: DataFrame, old: Known | None, new: Known, least: int) -> DataFr
 
     found = docs.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(count, COUNTS)
     summed = found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
-    return materialize(summed.filter(F.col("f") >= least), "phrase_counts")
+    return materialize(summed.filter((F.col("f") >= least) | (F.col("words") == 0)), "phrase_counts")
 
 
-def missed(found: DataFrame, known: Known) -> DataFrame:
+def missed(found: DataFrame, known: Known, longest: int) -> DataFrame:
     """Frequent phrases outside the set that can be part of a longer one."""
     shared = found.sparkSession.sparkContext.broadcast(known)
 
@@ -227,7 +244,7 @@ def missed(found: DataFrame, known: Known) -> DataFrame:
             keep = ~shared.value.has(phrase_hashes(batch["lang"], batch["phrase"]))
             yield batch.filter(pa.array(keep))
 
-    parts = found.filter(F.col("words") < LONGEST).select("lang", "words", "phrase")
+    parts = proper_parts(found, longest)
     return parts.mapInArrow(outside, parts.schema)
 
 
@@ -235,18 +252,27 @@ def union(tables: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), tables)
 
 
-def frequent(docs: DataFrame, least: int, proposed: DataFrame | None = None) -> tuple[DataFrame, int]:
-    """All phrases that come at least ``least`` times, with their counts, and how many passes it took."""
+def proper_parts(found: DataFrame, longest: int) -> DataFrame:
+    return found.filter((F.col("words") > 0) & (F.col("words") < longest)).select("lang", "words", "phrase")
+
+
+def frequent(
+    docs: DataFrame, least: int, proposed: DataFrame | None = None, longest: int = LONGEST, ahead: bool = True
+) -> tuple[DataFrame, int]:
+    """All phrases that come at least ``least`` times, with their counts, and how many passes it took.
+
+    ``ahead``: the second pass counts all extensions of what the proposal missed at once, and is the last. Without it, and
+    without a proposal, phrases are mined length by length.
+    """
     inside = [] if proposed is None else [proposed]
     old, new = None, Known() if proposed is None else filter_of(proposed)
     found = []
     while True:
-        found.append(counts(docs, old, new, least))
-        more = materialize(missed(found[-1], new), "phrase_missed")
-        if not more.limit(1).count():
+        found.append(counts(docs, old, new, least, longest, ahead and old is not None))
+        if (ahead and old is not None) or not missed(found[-1], new, longest).limit(1).count():
             return union(found), len(found)
         # All that was found, not only what was missed: the next filter must not lose what this one let through by chance.
-        inside.append(found[-1].filter(F.col("words") < LONGEST).select("lang", "words", "phrase"))
+        inside.append(proper_parts(found[-1], longest))
         old, new = new, filter_of(union(inside))
 
 
@@ -259,8 +285,9 @@ def sampled(docs: DataFrame, every: int) -> DataFrame:
 def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_every: int = SAMPLE_EVERY) -> tuple[DataFrame, int]:
     """All frequent phrases and the number of passes over all documents."""
     lowered = max(1, int(least / sample_every * SLACK))
-    proposed, _ = frequent(sampled(docs, sample_every), lowered)
-    return frequent(docs, least, proposed.filter(F.col("words") < LONGEST).select("lang", "words", "phrase"))
+    sample = materialize(sampled(docs, sample_every).select("lang", "text"), "phrase_sample")
+    proposed, _ = frequent(sample, lowered, longest=LONGEST - 1, ahead=False)
+    return frequent(docs, least, proper_parts(proposed, LONGEST))
 
 
 # --- scores --------------------------------------------------------------------------------------
@@ -275,7 +302,7 @@ def cut_scores(counted: DataFrame) -> DataFrame:
             "tail": F.expr("substring_index(phrase, ' ', k - words)"),
         }
     )
-    part = counted.select("lang", "phrase", "f")
+    part = counted.filter(F.col("words") > 0).select("lang", "phrase", "f")
     heads, tails = part.toDF("lang", "head", "l"), part.toDF("lang", "tail", "r")
     scored = cuts.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"])
     # The product passes 64 bits; decimals are exact.
@@ -300,8 +327,7 @@ def contained(candidates: DataFrame) -> DataFrame:
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, sample_every: int = SAMPLE_EVERY) -> DataFrame:
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
     found, _ = frequent_phrases(docs, least, sample_every)
-    # Words below the threshold are not in the table, so all words are counted on their own.
-    totals = word_totals(docs)
+    totals = found.filter(F.col("words") == 0).select("lang", F.col("f").alias("n"))
     candidates = found.filter(F.col("words") > 1)
     kept = cut_scores(found).join(contained(candidates), ["lang", "phrase"], "left")
     kept = kept.filter(F.col("inside").isNull() | (F.lit(100) * F.col("inside") < F.lit(CONTAINED) * F.col("a")))
@@ -312,19 +338,6 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, sample_eve
     )
 
 
-def word_totals(docs: DataFrame) -> DataFrame:
-    """(lang, n): all words of each language."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = [np.diff(part.runs(_SEPARATOR)[2]) for part in slices(batch["text"], SLICE_BYTES)]
-            n = np.concatenate(sizes) if sizes else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pc.fill_null(batch["lang"], NO_LANG), pa.array(n.astype(np.int64))], ["lang", "n"])
-
-    totals = docs.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(count, "lang string, n bigint")
-    return totals.groupBy("lang").agg(F.sum("n").alias("n"))
-
-
 # --- the same in SQL, for comparison -------------------------------------------------------------
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

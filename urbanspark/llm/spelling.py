@@ -42,7 +42,7 @@ _DIMENSION = np.full(256, -1, np.int64)
 _DIMENSION[97:123] = np.arange(26)
 _DIMENSION[0xC0:] = np.arange(26, DIMENSIONS)
 
-CELL_WORDS = 32_768
+CELL_WORDS = 8_192
 CELL_LETTERS = 1 << 20
 SAMPLE_WORDS = 100_000
 SAMPLE_LETTERS = 256
