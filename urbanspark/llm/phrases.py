@@ -39,7 +39,7 @@ TOP = 2000
 SCALE = 2_000_000
 NO_LANG = "und"
 # The sample takes one in SAMPLE_EVERY documents; its threshold is LEAST / SAMPLE_EVERY times SLACK, rounded down.
-SAMPLE_EVERY, SLACK = 8, 0.6
+SAMPLE_EVERY, SLACK = 8, 0.8
 SLICE_BYTES = 2 << 20
 MAX_FILTER_BITS, BITS_PER_PHRASE, PROBES = 1 << 28, 16, 3
 BITMAP_BITS = 32_768  # of Spark's bitmap aggregates
