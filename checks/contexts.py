@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -16,8 +16,9 @@ from urbanspark.functions import clean, holidays, rules
 from urbanspark.functions.hours import from_hour_index
 from urbanspark.operators import geo
 from urbanspark.operators.intervals import active_counts, hourly_spine
-from urbanspark.operators.tables import inline_table
+from urbanspark.operators.tables import inline_table, materialize
 from urbanspark.plans import features, tickets
+from urbanspark.session import work_folder
 
 BOROUGHS_SQL = f"(SELECT unnest({rules.BOROUGHS}) AS borough)"
 
@@ -26,7 +27,10 @@ def spine_sql(start, end) -> str:
     return f"(SELECT unnest(generate_series(TIMESTAMP '{start}', TIMESTAMP '{end}', INTERVAL 1 HOUR)) AS datetime)"
 
 
-LICENCE_SPINE = spine_sql(V.LICENCE_START, V.LICENCE_END)
+# All hours of the years from the first licence or ticket to the last.
+CONTEXT_SPINE = f"""(SELECT unnest(generate_series(
+    least(TIMESTAMP '{V.START}', (SELECT date_trunc('year', min(created)) FROM licences)),
+    greatest(TIMESTAMP '{V.END}', (SELECT date_trunc('year', max(expires)) + INTERVAL 1 YEAR FROM licences)) - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS datetime)"""
 EVENT_SPINE = spine_sql(V.EVENT_START, V.EVENT_END)
 
 # --- calendar ------------------------------------------------------------------------------------
@@ -127,7 +131,7 @@ INDUSTRIES_SQL = "(VALUES ('Garage'), ('Employment Agency'), ('Cabaret'), ('News
     "interval_active_counts",
     with_views(
         f"""SELECT b.borough, i.industry, h.datetime, count(l.licence_id) AS n
-            FROM {BOROUGHS_SQL} b CROSS JOIN {INDUSTRIES_SQL} CROSS JOIN {LICENCE_SPINE} h
+            FROM {BOROUGHS_SQL} b CROSS JOIN {INDUSTRIES_SQL} CROSS JOIN {CONTEXT_SPINE} h
             LEFT JOIN licences l ON l.borough = b.borough AND l.industry = i.industry AND h.datetime >= l.created AND h.datetime <= l.expires
             GROUP BY 1, 2, 3""",
         "licences",
@@ -137,14 +141,14 @@ def interval_active_counts(spark, sf_dir):
     industries = ["Garage", "Employment Agency", "Cabaret", "Newsstand", "Unlisted"]
     keys = inline_table(spark, ["borough", "industry"], [(b, i) for b in rules.BOROUGHS for i in industries])
     counts = active_counts(
-        V.view(spark, sf_dir, "licences"), keys, "created", "expires", {"n": F.lit(1)}, V.LICENCE_START, V.LICENCE_END
+        V.view(spark, sf_dir, "licences"), keys, "created", "expires", {"n": F.lit(1)}, *V.context_span(spark, sf_dir)
     )
     return counts.select("borough", "industry", from_hour_index(F.col("hour_no")).alias("datetime"), "n")
 
 
 HOURS_SQL = "(VALUES " + ", ".join(f"('{i}', {a}, {b}, {w})" for i, a, b, w in rules.INDUSTRY_HOURS) + ") AS t(industry, opens, closes, weekends)"
 BUSINESSES_SQL = f"""SELECT b.borough, h.datetime, count(l.licence_id) AS open_businesses
-    FROM {BOROUGHS_SQL} b CROSS JOIN {LICENCE_SPINE} h
+    FROM {BOROUGHS_SQL} b CROSS JOIN {CONTEXT_SPINE} h
     LEFT JOIN (SELECT * FROM licences JOIN {HOURS_SQL} USING (industry)) l
       ON l.borough = b.borough AND h.datetime >= l.created AND h.datetime <= l.expires
       AND hour(h.datetime) BETWEEN l.opens AND l.closes AND (l.weekends OR isodow(h.datetime) < 6)
@@ -153,7 +157,7 @@ BUSINESSES_SQL = f"""SELECT b.borough, h.datetime, count(l.licence_id) AS open_b
 
 @check("open_businesses_hourly", with_views(BUSINESSES_SQL, "licences"))
 def open_businesses_hourly(spark, sf_dir):
-    return features.open_businesses_hourly(V.view(spark, sf_dir, "licences"), V.LICENCE_START, V.LICENCE_END)
+    return features.open_businesses_hourly(V.view(spark, sf_dir, "licences"), *V.context_span(spark, sf_dir))
 
 
 def events_sql(spine: str, events: str) -> str:
@@ -218,12 +222,12 @@ def points_by_category(spark, sf_dir):
 SCHOOLS_SQL = f"""SELECT b.borough, h.datetime,
       count(s.point_id) FILTER (month(h.datetime) NOT IN (7, 8) AND hour(h.datetime) >= 8
         AND hour(h.datetime) < CASE s.category WHEN 'K-8' THEN 13 WHEN 'High school' THEN 14 WHEN 'Secondary School' THEN 14 ELSE 0 END) AS open_schools
-    FROM {BOROUGHS_SQL} b CROSS JOIN {LICENCE_SPINE} h LEFT JOIN ({OPEN_SCHOOLS_SQL}) s ON s.borough = b.borough GROUP BY 1, 2"""
+    FROM {BOROUGHS_SQL} b CROSS JOIN {CONTEXT_SPINE} h LEFT JOIN ({OPEN_SCHOOLS_SQL}) s ON s.borough = b.borough GROUP BY 1, 2"""
 
 
-@check("open_schools_hourly", with_views(SCHOOLS_SQL, "schools"))
+@check("open_schools_hourly", with_views(SCHOOLS_SQL, "schools", "licences"))
 def open_schools_hourly(spark, sf_dir):
-    return features.open_schools_hourly(located_schools(spark, sf_dir), V.LICENCE_START, V.LICENCE_END)
+    return features.open_schools_hourly(located_schools(spark, sf_dir), *V.context_span(spark, sf_dir))
 
 
 AREAS_SQL = "(VALUES " + ", ".join(f"('{b}', {a}e0)" for b, a in V.BOROUGH_AREAS) + ") AS a(borough, area)"
@@ -244,12 +248,12 @@ def landmark_density(spark, sf_dir):
     return landmark_summary(spark, sf_dir)
 
 
-LANDMARKS_HOURLY_SQL = f"SELECT borough, datetime, landmark_density, total_landmark_length, total_landmarks FROM ({LANDMARKS_SQL}) CROSS JOIN {LICENCE_SPINE}"
+LANDMARKS_HOURLY_SQL = f"SELECT borough, datetime, landmark_density, total_landmark_length, total_landmarks FROM ({LANDMARKS_SQL}) CROSS JOIN {CONTEXT_SPINE}"
 
 
-@check("landmark_hourly", with_views(LANDMARKS_HOURLY_SQL, "landmarks"))
+@check("landmark_hourly", with_views(LANDMARKS_HOURLY_SQL, "landmarks", "licences"))
 def landmark_hourly(spark, sf_dir):
-    return features.landmark_hourly(landmark_summary(spark, sf_dir), V.LICENCE_START, V.LICENCE_END)
+    return features.landmark_hourly(landmark_summary(spark, sf_dir), *V.context_span(spark, sf_dir))
 
 
 @check("weather_union", with_views(f"SELECT borough, datetime, {rounded_sql(['temperature'])} FROM weather", "weather"))
@@ -275,14 +279,16 @@ def resample_daily_mean(spark, sf_dir):
 # --- assembly ------------------------------------------------------------------------------------
 
 FLAG_SELECT = ", ".join(f"{e} AS {name}" for name, e in flag_sql("datetime").items())
-HALF_SPINE = spine_sql(V.EVENT_START, V.EVENT_START.replace(day=20))
+# Holidays begin five days before the events and end ten days before them, so every side has rows that others lack.
+HOLIDAY_SPAN = V.EVENT_START - timedelta(days=5), V.EVENT_END - timedelta(days=10)
+HOLIDAY_SPINE = spine_sql(*HOLIDAY_SPAN)
 
 
 @check(
     "join_outer_chain",
     with_views(
-        f""", e AS ({events_sql(HALF_SPINE, "city_events")}),
-             h AS (SELECT borough, datetime, {FLAG_SELECT} FROM {BOROUGHS_SQL} CROSS JOIN {HALF_SPINE})
+        f""", e AS ({events_sql(EVENT_SPINE, "city_events")}),
+             h AS (SELECT borough, datetime, {FLAG_SELECT} FROM {BOROUGHS_SQL} CROSS JOIN {HOLIDAY_SPINE})
            SELECT borough, datetime, num_events, num_constructions, num_street_closures, round(temperature, 6) AS temperature,
                   {", ".join(holidays.FLAGS)}
            FROM e FULL JOIN weather USING (borough, datetime) FULL JOIN h USING (borough, datetime)""",
@@ -291,30 +297,42 @@ HALF_SPINE = spine_sql(V.EVENT_START, V.EVENT_START.replace(day=20))
     ),
 )
 def join_outer_chain(spark, sf_dir):
-    """The features cover 19 days, the weather the whole month: unmatched rows on one side."""
-    start, end = V.EVENT_START, V.EVENT_START.replace(day=20)
+    """Events cover their month, weather the hours with events, holidays days of their own: unmatched rows on every side."""
     parts = [
-        features.event_counts_hourly(V.view(spark, sf_dir, "city_events"), start, end),
+        features.event_counts_hourly(V.view(spark, sf_dir, "city_events"), V.EVENT_START, V.EVENT_END),
         V.view(spark, sf_dir, "weather"),
-        features.holidays_hourly(spark, start, end),
+        features.holidays_hourly(spark, *HOLIDAY_SPAN),
     ]
     return rounded(features.merge_features(parts), ["temperature"])
 
 
 def feature_parts(spark, sf_dir):
-    """The six feature tables over the licence year."""
-    span = V.LICENCE_START, V.LICENCE_END
+    """The six feature tables over all years of licences and tickets."""
+    span = V.context_span(spark, sf_dir)
     return [
         features.open_businesses_hourly(V.view(spark, sf_dir, "licences"), *span),
-        features.event_counts_hourly(V.view(spark, sf_dir, "city_events_96"), *span),
+        features.event_counts_hourly(V.view(spark, sf_dir, "city_events_all"), *span),
         features.landmark_hourly(landmark_summary(spark, sf_dir), *span),
         features.open_schools_hourly(located_schools(spark, sf_dir), *span),
-        rounded(V.view(spark, sf_dir, "weather_96"), ["temperature"]),
+        rounded(V.view(spark, sf_dir, "weather_all"), ["temperature"]),
         features.holidays_hourly(spark, *span),
     ]
 
 
-FEATURE_VIEWS = ["licences", "city_events_96", "landmarks", "schools", "weather_96"]
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def stored_hourly(spark, sf_dir):
+    """The hourly features as a stored table by year and borough, written once per session and table."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _STORES:
+        path = work_folder(spark, "hourly_features")
+        features.write_store(features.feature_table_hourly(feature_parts(spark, sf_dir)), path)
+        _STORES[key] = path
+    return features.read_store(spark, _STORES[key])
+
+
+FEATURE_VIEWS = ["licences", "city_events_all", "landmarks", "schools", "weather_all"]
 FEATURE_COLUMNS = [
     "open_businesses",
     "num_events",
@@ -327,10 +345,10 @@ FEATURE_COLUMNS = [
     "temperature",
     *holidays.FLAGS,
 ]
-HOURLY_SQL = f""", f_business AS MATERIALIZED ({BUSINESSES_SQL}), f_events AS MATERIALIZED ({events_sql(LICENCE_SPINE, "city_events_96")}),
+HOURLY_SQL = f""", f_business AS MATERIALIZED ({BUSINESSES_SQL}), f_events AS MATERIALIZED ({events_sql(CONTEXT_SPINE, "city_events_all")}),
     f_landmarks AS MATERIALIZED ({LANDMARKS_HOURLY_SQL}), f_schools AS MATERIALIZED ({SCHOOLS_SQL}),
-    f_weather AS MATERIALIZED (SELECT borough, datetime, round(temperature, 6) AS temperature FROM weather_96),
-    f_holidays AS MATERIALIZED (SELECT borough, datetime, {FLAG_SELECT} FROM {BOROUGHS_SQL} CROSS JOIN {LICENCE_SPINE}),
+    f_weather AS MATERIALIZED (SELECT borough, datetime, round(temperature, 6) AS temperature FROM weather_all),
+    f_holidays AS MATERIALIZED (SELECT borough, datetime, {FLAG_SELECT} FROM {BOROUGHS_SQL} CROSS JOIN {CONTEXT_SPINE}),
     hourly AS MATERIALIZED (SELECT borough, datetime, {", ".join(FEATURE_COLUMNS)} FROM f_business FULL JOIN f_events USING (borough, datetime)
       FULL JOIN f_landmarks USING (borough, datetime) FULL JOIN f_schools USING (borough, datetime)
       FULL JOIN f_weather USING (borough, datetime) FULL JOIN f_holidays USING (borough, datetime))"""
@@ -344,12 +362,13 @@ def feature_table_hourly(spark, sf_dir):
 
 
 def daily_features(spark, sf_dir):
-    return rounded(features.feature_table_daily(feature_parts(spark, sf_dir)), FEATURE_COLUMNS)
+    """Daily means of the stored hours."""
+    return rounded(features.daily_from_store(stored_hourly(spark, sf_dir)), FEATURE_COLUMNS)
 
 
 @check("feature_table_daily", with_views(DAILY_SQL + " SELECT * FROM daily", *FEATURE_VIEWS))
 def feature_table_daily(spark, sf_dir):
-    return daily_features(spark, sf_dir)
+    return rounded(features.feature_table_daily(feature_parts(spark, sf_dir)), FEATURE_COLUMNS)
 
 
 PER_DAY_SQL = f"""SELECT CAST({DATE_SQL} AS DATE) AS issue_date, {COUNTY_SQL} AS violation_county, count(*) AS tickets FROM tickets
@@ -399,7 +418,39 @@ def daily_ticket_features(spark, sf_dir):
     ),
 )
 def join_hourly_features(spark, sf_dir):
+    """Every ticket meets its hour; only then are tickets counted."""
     source = V.tickets(spark, sf_dir, "issue_date", "violation_time", "violation_county", spread=True)
     cleaned = tickets.clean_tickets(source, V.START, V.END)
-    per_hour = cleaned.groupBy("issue_time", "violation_county").agg(F.count("*").alias("n"))
-    return tickets.join_hourly(per_hour, features.feature_table_hourly(feature_parts(spark, sf_dir)), V.START, V.END)
+    joined = tickets.join_hourly(cleaned, stored_hourly(spark, sf_dir), V.START, V.END)
+    # The features of an hour are the same on all its tickets: grouping by the hour groups by them.
+    values = [F.first(c).alias(c) for c in FEATURE_COLUMNS]
+    return joined.groupBy("issue_time", "violation_county").agg(F.count("*").alias("n"), *values)
+
+
+@check(
+    "join_stored_features",
+    with_views(
+        HOURLY_SQL
+        + f""", late AS (SELECT {ISSUE_SQL} AS issue_time, {COUNTY_SQL} AS violation_county FROM tickets
+                WHERE {ISSUE_SQL} >= TIMESTAMP '{V.TEST}' AND {ISSUE_SQL} < TIMESTAMP '{V.END}' AND {COUNTY_SQL} IN ('Bronx', 'Queens'))
+           SELECT violation_county, count(*) AS n, count(open_businesses) AS n_met, CAST(sum(open_businesses) AS BIGINT) AS open_businesses,
+                  CAST(sum(num_events) AS BIGINT) AS num_events, count(temperature) AS n_temperature
+           FROM late LEFT JOIN hourly ON hourly.borough = late.violation_county AND hourly.datetime = late.issue_time GROUP BY 1""",
+        *FEATURE_VIEWS,
+        "tickets",
+    ),
+)
+def join_stored_features(spark, sf_dir):
+    """Tickets of two boroughs in the last year; the folders to read follow from the tickets at run time."""
+    source = V.tickets(spark, sf_dir, "issue_date", "violation_time", "violation_county", spread=True)
+    cleaned = materialize(tickets.clean_tickets(source, V.TEST, V.END), "late_tickets")
+    late = cleaned.filter(F.col("violation_county").isin("Bronx", "Queens"))
+    store = features.read_needed(stored_hourly(spark, sf_dir), late, "issue_time", "violation_county")
+    joined = tickets.join_hourly(late, store, V.TEST, V.END)
+    return joined.groupBy("violation_county").agg(
+        F.count("*").alias("n"),
+        F.count("open_businesses").alias("n_met"),
+        F.sum("open_businesses").alias("open_businesses"),
+        F.sum("num_events").alias("num_events"),
+        F.count("temperature").alias("n_temperature"),
+    )

@@ -18,7 +18,6 @@ from urbanspark.operators.tables import compute_once, inline_table
 from urbanspark.sources.readers import spread_scan
 
 START, END, TEST = datetime(1996, 1, 1), datetime(2001, 1, 1), datetime(2000, 1, 1)
-LICENCE_START, LICENCE_END = datetime(1996, 1, 1), datetime(1996, 12, 31, 23)
 EVENT_START, EVENT_END = datetime(2024, 1, 1), datetime(2024, 1, 31, 23)
 MIN_YEAR = 1995
 
@@ -107,10 +106,11 @@ SELECT event_id,
        value
 FROM events"""
 
-# The same events 28 years earlier (same weekdays), inside the licence year.
-SQL["city_events_96"] = f"""
+# The same events spread over the ticket years, 1996 to 2000, and over the days of a year.
+SQL["city_events_all"] = f"""
 SELECT borough, event_type, street_closure_type, value,
-       start_ts - INTERVAL '28' YEAR AS start_ts, end_ts - INTERVAL '28' YEAR AS end_ts
+       start_ts - INTERVAL '28' YEAR + CAST(event_id % 5 AS INT) * INTERVAL '1' YEAR + CAST(event_id % 331 AS INT) * INTERVAL '1' DAY AS start_ts,
+       end_ts - INTERVAL '28' YEAR + CAST(event_id % 5 AS INT) * INTERVAL '1' YEAR + CAST(event_id % 331 AS INT) * INTERVAL '1' DAY AS end_ts
 FROM ({SQL["city_events"]})"""
 
 SQL["points"] = """
@@ -136,7 +136,7 @@ SQL["weather"] = f"""
 SELECT borough, CAST(date_trunc('hour', start_ts) AS TIMESTAMP) AS datetime, avg(value) AS temperature
 FROM ({SQL["city_events"]}) GROUP BY 1, 2"""
 
-SQL["weather_96"] = SQL["weather"].replace(SQL["city_events"], SQL["city_events_96"])
+SQL["weather_all"] = SQL["weather"].replace(SQL["city_events"], SQL["city_events_all"])
 
 # Ticket messages in offset order.
 SQL["messages"] = """
@@ -262,6 +262,18 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
+_SPANS: dict[str, tuple[datetime, datetime]] = {}
+
+
+def context_span(spark: SparkSession, sf_dir: str) -> tuple[datetime, datetime]:
+    """First and last hour of the years from the first licence or ticket to the last; looked up once per table."""
+    if sf_dir not in _SPANS:
+        licences = view(spark, sf_dir, "licences").agg(F.year(F.min("created")), F.year(F.max("expires"))).first()
+        first, last = min(licences[0], START.year), max(licences[1], END.year - 1)
+        _SPANS[sf_dir] = datetime(first, 1, 1), datetime(last, 12, 31, 23)
+    return _SPANS[sf_dir]
+
+
 def with_views(body: str, *names: str) -> str:
     """SQL that starts with the named stand-ins; ``body`` may bring further ones in a leading ``, x AS (...)``."""
     head = ",\n".join(f"{n} AS ({SQL[n]})" for n in names)

@@ -141,23 +141,3 @@ def test_metrics(spark):
         (1, 0): 0.25,
         (0, 0): 0.5,
     }
-
-
-def test_models_learn(spark):
-    rng = random.Random(3)
-    rows = [(x := rng.uniform(-1, 1), z := rng.uniform(-1, 1), 3 * x - 2 * z + 1, int(x + z > 0)) for _ in range(2000)]
-    df = frame(spark, rows, "x double, `a z` double, y double, label int")
-    line = models.vectors(df, ["x", "a z"], "y")
-    assert models.sgd_weights(line, "squared", epochs=30, rate=0.2) == pytest.approx([1, 3, -2], abs=0.05)
-    assert metrics.rmse(models.linear_regression(line, line), "label", "prediction").first()["rmse"] < 0.01
-    assert metrics.rmse(models.boosted_regression(line, line, trees=10), "label", "prediction").first()["rmse"] < 0.5
-    both = models.vectors(df, ["x", "a z"], "label")
-    for predict in (models.sgd_classification, models.logistic_regression):
-        assert metrics.accuracy(predict(*models.standardize(both, both)), "label", "prediction").first()["accuracy"] > 0.97
-    trees = models.boosted_classification(both, both, trees=5)
-    assert metrics.accuracy(trees, "label", "prediction").first()["accuracy"] > 0.9
-
-
-def test_missing_inputs_get_a_flag(spark):
-    df = frame(spark, [(None, 1.0)], "x double, y double")
-    assert models.vectors(df, ["x"], "y", missing_flags=True).first()["features"].toArray().tolist() == [0.0, 1.0]

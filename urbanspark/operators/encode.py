@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanspark.functions.hours import wall_clock
-
-MAX_LEVELS = 1000
+from urbanspark.operators.tables import broadcast_within
 
 
 def one_hot_fixed(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
@@ -27,12 +26,12 @@ def one_hot_fixed(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
 
 
 def one_hot(df: DataFrame, column: str, levels: list[str] | None = None) -> DataFrame:
-    """Replace a column by one 0/1 column per level: the given ones, or those found in the data, which is then read."""
+    """Replace a column by one 0/1 column per level: the given ones, or those found in the data, which is then read.
+
+    A table can only have so many columns; where a column has many levels, ``design.dictionary`` codes it in one number.
+    """
     if levels is None:
-        found = df.select(F.col(column).cast("string").alias("v")).dropna().distinct().orderBy("v").limit(MAX_LEVELS + 1)
-        levels = [row["v"] for row in found.collect()]
-        if len(levels) > MAX_LEVELS:
-            raise ValueError(f"{column} has more than {MAX_LEVELS} levels; one-hot columns would be too wide")
+        levels = [row["v"] for row in df.select(F.col(column).cast("string").alias("v")).dropna().distinct().orderBy("v").collect()]
     text = F.col(column).cast("string")
     flags = {f"{column}_{v}": F.coalesce((text == v).cast("int"), F.lit(0)) for v in levels}
     return df.withColumns(flags).drop(column)
@@ -114,14 +113,15 @@ def label_dictionary(first_window: DataFrame, columns: list[str]) -> DataFrame:
 def encode_labels(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:
     """Replace values by their codes; a value the dictionary lacks becomes -1.
 
-    The dictionary of one count window has at most window x columns rows, so it is broadcast.
+    The dictionary of one count window has at most window x columns rows; it is counted before it is broadcast.
     """
+    n = dictionary.count()
     for c in columns:
         codes = dictionary.filter(F.col("column") == c).select(
             F.col("value").alias("__value"), F.col("code").alias("__code")
         )
         df = (
-            df.join(F.broadcast(codes), F.col(c).cast("string") == F.col("__value"), "left")
+            df.join(broadcast_within(codes, n), F.col(c).cast("string") == F.col("__value"), "left")
             .withColumn(c, F.coalesce("__code", F.lit(-1)))
             .drop("__value", "__code")
         )

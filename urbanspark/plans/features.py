@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from urbanspark.functions import rules
 from urbanspark.functions.clean import lookup
 from urbanspark.functions.holidays import add_holiday_flags
-from urbanspark.functions.hours import SPINE_END, SPINE_START, from_hour_index
+from urbanspark.functions.hours import SPINE_END, SPINE_START, from_hour_index, wall_clock
 from urbanspark.operators.explore import first_per_key
 from urbanspark.operators.intervals import active_counts, hourly_spine
-from urbanspark.operators.tables import inline_table
+from urbanspark.operators.tables import broadcast_within, inline_table
 
 KEYS = ["borough", "datetime"]
 
@@ -193,8 +193,46 @@ def feature_table_hourly(tables: list[DataFrame]) -> DataFrame:
     return merge_features(tables)
 
 
+def write_store(hourly: DataFrame, path: str) -> DataFrame:
+    """Store hourly features in folders by year and borough, one file each, and return the stored table.
+
+    A ticket range then reads only the years and boroughs it needs (``prune_store``); features of a new year are a new folder.
+    """
+    dated = hourly.withColumn("year", F.year("datetime"))
+    dated.repartition("year", "borough").write.partitionBy("year", "borough").parquet(path)
+    return read_store(hourly.sparkSession, path)
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def prune_store(store: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Stored hours with ``start <= datetime < end``; the years of the range are a filter on folders."""
+    years = F.col("year").between(start.year, (end - timedelta(microseconds=1)).year)
+    inside = (F.col("datetime") >= wall_clock(start)) & (F.col("datetime") < wall_clock(end))
+    return store.filter(years & inside)
+
+
+def needed_folders(rows: DataFrame, time: str, borough: str) -> DataFrame:
+    """(year, borough) of the rows: at most years x boroughs rows, so a join on them prunes folders at run time."""
+    return rows.select(F.year(time).alias("year"), F.col(borough).alias("borough")).distinct()
+
+
+def read_needed(store: DataFrame, rows: DataFrame, time: str, borough: str) -> DataFrame:
+    """Stored hours in the folders that ``rows`` touch, by dynamic partition pruning."""
+    n_boroughs, years = len(rules.BOROUGHS) + 1, 10_000
+    needed = broadcast_within(needed_folders(rows, time, borough), n_boroughs * years)
+    return store.join(needed, ["year", "borough"], "left_semi")
+
+
 def feature_table_daily(tables: list[DataFrame]) -> DataFrame:
     """Each table to daily means first, then merged on (borough, day)."""
     return merge_features([resample_daily(t) for t in tables], ["borough", "day"])
 
 
+def daily_from_store(store: DataFrame) -> DataFrame:
+    """Daily means of the stored hours: a mean leaves out missing hours, so merging first changes nothing but the number of shuffles."""
+    return resample_daily(store.drop("year"))
+
+

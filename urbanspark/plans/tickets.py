@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -11,15 +12,15 @@ from urbanspark.functions import clean, rules
 from urbanspark.functions.clean import to_timestamp_or_null, to_timestamp_strict
 from urbanspark.functions.hours import wall_clock
 from urbanspark.operators.encode import (
-    constant_columns_by_deviation,
     constant_columns_by_distinct,
     one_hot,
-    one_hot_fixed,
     split_by_time,
 )
 from urbanspark.operators.explore import first_per_key, top_k
+from urbanspark.operators.design import Design, Moments, code_fixed, fit_design
 from urbanspark.operators.geo import interpolate_house
 from urbanspark.operators.tables import broadcast_within, compute_once, materialize
+from urbanspark.plans.features import prune_store
 
 START, END, TEST = datetime(2014, 1, 1), datetime(2024, 1, 1), datetime(2023, 1, 1)
 
@@ -87,44 +88,64 @@ def clean_tickets(tickets: DataFrame, start: datetime = START, end: datetime = E
     return cleaned.withColumns({c: rule for c, rule in last.items() if c in tickets.columns})
 
 
-def join_hourly(cleaned: DataFrame, hourly: DataFrame, start: datetime, end: datetime) -> DataFrame:
-    """Left join of tickets with the borough features of their exact hour.
+def join_hourly(cleaned: DataFrame, store: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Left join of tickets with the stored borough features of their exact hour.
 
-    The feature side is unique in (borough, hour) and is cut to the ticket range and the known
-    boroughs, so boroughs x hours bounds its rows. Within the limit it is broadcast and the tickets
-    do not move; a longer range falls back to a shuffle join.
+    Only the years of the ticket range are read. The feature side is unique in (borough, hour) and is cut to the known
+    boroughs, so boroughs x hours bounds its rows. Within the limit it is broadcast and the tickets do not move; a longer range falls
+    back to a shuffle join.
     """
     hours = int((end - start).total_seconds() // 3600)
-    side = in_range(hourly, "datetime", start, end).filter(F.col("borough").isin(*rules.BOROUGHS))
+    side = prune_store(store, start, end).filter(F.col("borough").isin(*rules.BOROUGHS)).drop("year")
     side = side.withColumnsRenamed({"borough": "violation_county", "datetime": "issue_time"})
     return cleaned.join(
         broadcast_within(side, hours * len(rules.BOROUGHS)), ["violation_county", "issue_time"], "left"
     )
 
 
+@dataclass(frozen=True)
+class StateSet:
+    """The classification set: a coded table with ``issue_time`` and ``label``, which of its inputs vary in training, and their moments."""
+
+    table: DataFrame
+    design: Design
+    moments: Moments
+    test_from: datetime
+
+    def parts(self) -> tuple[DataFrame, DataFrame]:
+        return split_by_time(self.table, "issue_time", self.test_from)
+
+    def wide(self, columns: list[str] | None = None) -> DataFrame:
+        """One column per input that varies, made on the way out; the stored table stays narrow."""
+        every = self.design.expressions()
+        return self.table.select("issue_time", "label", *[every[c].alias(c) for c in columns or every])
+
+
 def state_features(
     tickets: DataFrame,
-    hourly: DataFrame,
+    store: DataFrame,
     start: datetime = START,
     end: datetime = END,
     test_from: datetime = TEST,
     strict: bool = False,
     levels: dict[str, list[str]] = rules.CATEGORY_LEVELS,
-) -> DataFrame:
-    """Classification set, one row per ticket: label 1 for vehicles of the home state, numeric inputs,
-    null inputs 0, without columns that are constant in the training part."""
-    joined = join_hourly(clean_tickets(tickets, start, end, strict), hourly, start, end)
-    wide = one_hot_fixed(clean.add_cyclic_time(joined, "issue_time"), levels)
-    inputs = [c for c in wide.columns if c not in ("issue_time", "registration_state")]
-    numeric = wide.select(
+) -> StateSet:
+    """Classification set, one row per ticket: label 1 for vehicles of the home state, numbers (null is 0) and one code
+    per categorical column, whose first listed level is the base. Inputs that are constant in the training part are left out."""
+    joined = join_hourly(clean_tickets(tickets, start, end, strict), store, start, end)
+    timed = clean.add_cyclic_time(joined, "issue_time")
+    numeric = [c for c in timed.columns if c not in ("issue_time", "registration_state", *levels)]
+    coded = timed.select(
         "issue_time",
         F.coalesce((F.col("registration_state") == "NY").cast("int"), F.lit(0)).alias("label"),
-        *[F.coalesce(F.col(f"`{c}`").cast("float"), F.lit(0.0).cast("float")).alias(c) for c in inputs],
+        *[F.coalesce(F.col(f"`{c}`").cast("float"), F.lit(0.0).cast("float")).alias(c) for c in numeric],
+        *[code_fixed(F.col(f"`{c}`"), values[1:]).alias(c) for c, values in levels.items()],
     )
     # Written once: the constant check, the fit and the scoring all read it.
-    table = materialize(numeric, "state_features")
+    table = materialize(coded, "state_features")
     train, _ = split_by_time(table, "issue_time", test_from)
-    return table.drop(*constant_columns_by_deviation(train, inputs))
+    design, moments = fit_design(train, Design(numeric, {c: values[1:] for c, values in levels.items()}))
+    return StateSet(table, design, moments, test_from)
 
 
 # --- streets -------------------------------------------------------------------------------------
