@@ -345,6 +345,8 @@ FEATURE_COLUMNS = [
     "temperature",
     *holidays.FLAGS,
 ]
+# Means of values with six digits often end half-way; both sides round those up, whatever the last bit says.
+NUDGE = "1e-9"
 HOURLY_SQL = f""", f_business AS MATERIALIZED ({BUSINESSES_SQL}), f_events AS MATERIALIZED ({events_sql(CONTEXT_SPINE, "city_events_all")}),
     f_landmarks AS MATERIALIZED ({LANDMARKS_HOURLY_SQL}), f_schools AS MATERIALIZED ({SCHOOLS_SQL}),
     f_weather AS MATERIALIZED (SELECT borough, datetime, round(temperature, 6) AS temperature FROM weather_all),
@@ -353,7 +355,7 @@ HOURLY_SQL = f""", f_business AS MATERIALIZED ({BUSINESSES_SQL}), f_events AS MA
       FULL JOIN f_landmarks USING (borough, datetime) FULL JOIN f_schools USING (borough, datetime)
       FULL JOIN f_weather USING (borough, datetime) FULL JOIN f_holidays USING (borough, datetime))"""
 DAILY_SQL = HOURLY_SQL + f""", daily AS (SELECT borough, CAST(datetime AS DATE) AS day,
-      {", ".join(f"round(avg({c}), 6) AS {c}" for c in FEATURE_COLUMNS)} FROM hourly GROUP BY 1, 2)"""
+      {", ".join(f"round(avg({c}) + {NUDGE}, 6) AS {c}" for c in FEATURE_COLUMNS)} FROM hourly GROUP BY 1, 2)"""
 
 
 @check("feature_table_hourly", with_views(HOURLY_SQL + " SELECT * FROM hourly", *FEATURE_VIEWS))
@@ -361,14 +363,18 @@ def feature_table_hourly(spark, sf_dir):
     return features.feature_table_hourly(feature_parts(spark, sf_dir))
 
 
+def rounded_means(daily):
+    return rounded(daily.withColumns({c: F.col(c) + F.lit(float(NUDGE)) for c in FEATURE_COLUMNS}), FEATURE_COLUMNS)
+
+
 def daily_features(spark, sf_dir):
     """Daily means of the stored hours."""
-    return rounded(features.daily_from_store(stored_hourly(spark, sf_dir)), FEATURE_COLUMNS)
+    return rounded_means(features.daily_from_store(stored_hourly(spark, sf_dir)))
 
 
 @check("feature_table_daily", with_views(DAILY_SQL + " SELECT * FROM daily", *FEATURE_VIEWS))
 def feature_table_daily(spark, sf_dir):
-    return rounded(features.feature_table_daily(feature_parts(spark, sf_dir)), FEATURE_COLUMNS)
+    return rounded_means(features.feature_table_daily(feature_parts(spark, sf_dir)))
 
 
 PER_DAY_SQL = f"""SELECT CAST({DATE_SQL} AS DATE) AS issue_date, {COUNTY_SQL} AS violation_county, count(*) AS tickets FROM tickets
