@@ -41,7 +41,9 @@ from urbanspark.operators.tables import broadcast_within, materialize
 WIDTH = 5
 # Share of the hash range counted in the first step, and shingles per task of that count.
 LOW_SHARE = 0.4
-PART_SHINGLES = 2_000_000
+PART_SHINGLES = 500_000
+# Shingles that a task packs at a time.
+CHUNK_SHINGLES = 500_000
 # Sets per task that adds up the counts of the parts.
 BUCKET_IDS = 50_000
 # Min-hash rounds, sets per bucket before it is split, and leaders of a bucket a set is compared with.
@@ -155,6 +157,17 @@ def _packed(sets: list[np.ndarray], ids: np.ndarray, owners: np.ndarray, parts:
             yield number, low_bits.tobytes(), name.tobytes(), owned.tobytes(), index.astype("<u4").tobytes()
 
 
+def _chunks(sets: list[np.ndarray]) -> Iterator[slice]:
+    """Ranges of sets with about ``CHUNK_SHINGLES`` shingles; one larger set is a range of its own."""
+    ends = np.cumsum([len(s) for s in sets], dtype=np.int64)
+    low = 0
+    while low < len(sets):
+        done = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + CHUNK_SHINGLES, "right")))
+        yield slice(low, high)
+        low = high
+
+
 def _packed_batch(rows) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [[]] * 5
     kinds = [pa.int32()] + [pa.binary()] * 4
@@ -214,9 +227,10 @@ def candidate_sets(docs: DataFrame, table: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for part in slices(batch.column("text")) for s in text_sets(part) if len(s)]
-            ids = set_ids([set_name(s) for s in sets])
-            yield _packed_batch(_packed(sets, ids, ids, parts, LOW_SHARE))
+            for part in slices(batch.column("text")):
+                sets = [s for s in text_sets(part) if len(s)]
+                ids = set_ids([set_name(s) for s in sets])
+                yield _packed_batch(_packed(sets, ids, ids, parts, LOW_SHARE))
 
     lonely = _count_lonely(docs.select("text").mapInArrow(pack, PACKED), rows)
     distinct = table.filter("n > 0").groupBy("id", "n").agg(F.min("doc_id").alias("doc_id"))
@@ -330,7 +344,9 @@ def possible_links(sets: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, owners = batch.column("id").to_numpy(), batch.column("owner").to_numpy()
-            yield _packed_batch(_packed(_read_sets(batch.column("shingles")), ids, owners, parts, 1.0))
+            sets = _read_sets(batch.column("shingles"))
+            for some in _chunks(sets):
+                yield _packed_batch(_packed(sets[some], ids[some], owners[some], parts, 1.0))
 
     # Both uses read the same columns, so the sets are shuffled once for them.
     used = sets.select("id", "owner", "n", "shingles")

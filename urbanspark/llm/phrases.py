@@ -40,7 +40,9 @@ SCALE = 2_000_000
 NO_LANG = "und"
 # The sample takes one in SAMPLE_EVERY documents; its threshold is LEAST / SAMPLE_EVERY times SLACK, rounded down.
 SAMPLE_EVERY, SLACK = 8, 0.8
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+# A language's phrases are ranked in this many shares first; only the first of each meet.
+RANK_SHARES = 64
 MAX_FILTER_BITS, BITS_PER_PHRASE, PROBES = 1 << 28, 16, 3
 BITMAP_BITS = 32_768  # of Spark's bitmap aggregates
 
@@ -331,8 +333,11 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, sample_eve
     candidates = found.filter(F.col("words") > 1)
     kept = cut_scores(found).join(contained(candidates), ["lang", "phrase"], "left")
     kept = kept.filter(F.col("inside").isNull() | (F.lit(100) * F.col("inside") < F.lit(CONTAINED) * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    share = F.pmod(F.xxhash64("phrase"), F.lit(RANK_SHARES))
+    in_share = F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))
+    first = kept.withColumn("share", share).withColumn("rank", in_share).filter(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
