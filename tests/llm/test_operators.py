@@ -114,12 +114,29 @@ def brute_components(rows):
 
 def test_near_copies(docs, monkeypatch):
     monkeypatch.setattr(ngram_join, "BUCKET_SETS", 4)
-    monkeypatch.setattr(ngram_join, "LIST_GROUPS", 3)
     monkeypatch.setattr(ngram_join, "PART_SHINGLES", 200)
     rows = [(r[0], r[1]) for r in fixture_rows()]
     assert Counter(tuple(r) for r in ngram_join.near_copies(docs).collect()) == brute_components(rows)
 
 
+def test_near_copies_of_a_group_around_the_limit(spark, monkeypatch):
+    """300 copies of one text, each pair a little above or below the similarity, in blocks that are split."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 2000)
+    monkeypatch.setattr(ngram_join, "PART_SHINGLES", 4000)
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for place in draw.sample(range(90), draw.choice([1, 2, 3, 3])):
+            words[place] = f"x{draw.randrange(6)}"
+        rows.append((i, " ".join(words[: draw.choice([90, 90, 80])])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    wanted = brute_components(rows)
+    assert 5 < len({c for _, _, c in wanted}) < 300
+    assert Counter(tuple(r) for r in ngram_join.near_copies(docs).collect()) == wanted
+
+
 def test_mix_reaches_targets(docs):
     mix = mixing.mix_documents(docs).collect()
     assert sorted((r.doc_id is None, r.doc_id, r.taken) for r in mix) == sorted(

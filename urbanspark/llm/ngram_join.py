@@ -4,18 +4,20 @@ Two documents link when 100 * common >= 75 * all shingles of both. The result is
 hashes: one row per document with the smallest doc_id it can reach by links. Documents with equal sets
 are one set from the start; links are sought between sets and never expanded into pairs of copies.
 
-Method, a token-group matrix: groups of similar sets, and for every shingle the groups whose union holds it.
+Method, a token-group matrix: blocks of similar sets, and for every shingle the blocks whose union holds it.
 
-1. Every set is a group. A set with more shingles that no other set has than the similarity lets it miss
+1. A set with more shingles that no other set has than the similarity lets it miss
    has no partner. Shingles with hashes below ``LOW_SHARE`` of the range suffice for that and are counted
    over all documents; whoever could still have a partner goes on with its whole set.
-2. Similar sets form groups: in buckets of equal min-hash each set joins the first leader that it is
-   verified to link with. Hot buckets are split.
-3. Between leaders, then, with groups joined by what was found, between all sets: shingles that only one group holds
-   bound what a set can share with other groups. For the sets left, shingles held by the fewest groups are looked up
-   in the matrix. Hits plus the shingles not looked up bound the overlap of a set and a group, and only
-   groups whose bound reaches the needed overlap are opened: the leader first, then, where that did not join
-   the groups, the members of fitting size and distance from it. Every link is verified on the whole sets.
+2. Sets known to be linked form groups: in buckets of equal min-hash each set joins the first leader that it is
+   verified to link with. Hot buckets are split. Sets whose shingles of other groups do not suffice for a link leave.
+3. The sets left are dealt into blocks by min-hash. Shingles held by the fewest blocks are looked up in the matrix.
+   Hits plus the shingles not looked up bound the overlap of a set with any set of a block, and only blocks whose
+   bound reaches the needed overlap are opened: the set goes there once, its overlaps with all sets of the
+   block are counted exactly, and a spanning forest of the links between groups comes out.
+
+A large group of sets that are all just below the similarity fills several blocks, and each of its sets opens all of
+these: one row per set and block, not per pair. The comparing itself, inside a block, is still as many as there are pairs.
 
 Groups, min-hashes and the order of look-ups decide how much work is done, never which links are found.
 
@@ -48,12 +50,12 @@ CHUNK_SHINGLES = 500_000
 BUCKET_IDS = 50_000
 # Min-hash rounds, sets per bucket before it is split, and leaders of a bucket a set is compared with.
 ROUNDS = 2
-BUCKET_SETS = 1024
+BUCKET_SETS = 256
 LEADERS = 32
-# Shingles looked up beyond the least number: each makes the bound on a group's overlap sharper by one.
+# Shingles looked up beyond the least number: each makes the bound on a block's overlap sharper by one.
 EXTRA = 24
-# Groups in a list of a shingle; a shingle that more groups hold has several lists.
-LIST_GROUPS = 4096
+# Shingles of the sets of a block.
+BLOCK_SHINGLES = 100_000
 
 _SEEDS = [np.uint64(0x9FB21C651E98DF25 * (2 * i + 1) % (1 << 64)) for i in range(ROUNDS)]
 _OTHER = np.uint64(0xA0761D6478BD642F)
@@ -334,7 +336,7 @@ def similar_groups(sets: DataFrame) -> DataFrame:
 
 
 def possible_links(sets: DataFrame) -> DataFrame:
-    """The sets (id, owner, n, shingles, held) that may link with a set of another owner, as far as bounds tell.
+    """The sets (id, owner, n, shingles, bucket0, held) that may link with a set of another owner, as far as bounds tell.
 
     ``most`` is the greatest size of a set, not above n, whose link with this one ``held`` would allow.
     """
@@ -349,124 +351,106 @@ def possible_links(sets: DataFrame) -> DataFrame:
                 yield _packed_batch(_packed(sets[some], ids[some], owners[some], parts, 1.0))
 
     # Both uses read the same columns, so the sets are shuffled once for them.
-    used = sets.select("id", "owner", "n", "shingles")
+    used = sets.select("id", "owner", "n", "shingles", "bucket0")
     lonely = _count_lonely(used.mapInArrow(pack, PACKED), rows)
     left = with_partners(used, lonely)
     most = F.least("n", F.floor((7 * F.col("held") - 3 * F.col("n")) / 3))
     return materialize(left.withColumn("most", most), "sets-left")
 
 
-ASKED = "id bigint, owner bigint, n bigint, rest bigint, group bigint, hits bigint"
-
-
-def _hits(table: pa.Table) -> pa.Table:
-    """Of the look-ups of one set: the groups that hold enough of them."""
-    first = {name: table[name][0].as_py() for name in ("id", "owner", "n", "rest", "floor")}
-    groups, hits = np.unique(np.concatenate([v.values.to_numpy() for v in table["groups"]]), return_counts=True)
-    enough = (hits + first["rest"] >= first["floor"]) & (groups != first["owner"])
-    groups, hits = groups[enough], hits[enough]
-    columns = {name: pa.array(np.full(len(groups), first[name], np.int64)) for name in ("id", "owner", "n", "rest")}
-    return pa.table({**columns, "group": pa.array(groups), "hits": pa.array(hits.astype(np.int64))})
+def placed_in_blocks(left: DataFrame, total: int) -> DataFrame:
+    """``left`` with the block of each set: sets of equal min-hash share one, and no block is much above ``BLOCK_SHINGLES``."""
+    count = max(1, math.ceil(total / BLOCK_SHINGLES))
+    based = left.withColumn("base", F.pmod(F.xxhash64("bucket0"), F.lit(count)))
+    splits = F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("splits")
+    heavy = broadcast_within(based.groupBy("base").agg(splits).filter("splits > 1"), count)
+    salt = F.pmod(F.xxhash64("id"), F.coalesce("splits", F.lit(1)))
+    return based.join(heavy, "base", "left").withColumn("block", F.xxhash64("base", salt)).drop("base", "splits")
 
 
-def opened_groups(left: DataFrame, by_size: bool) -> DataFrame:
-    """Pairs (id, owner, n, group) of a set and another group whose bound on their overlap suffices for a link.
+def opened_blocks(placed: DataFrame) -> DataFrame:
+    """Pairs (id, block) of a set and a block that may hold a partner of another group which is not smaller.
 
-    A link of sizes n and m needs three sevenths of n + m in common. One side asks for both: with ``by_size`` the set that
-    is not larger, which then needs six sevenths of its own shingles and only asks groups with a set that allows
-    partners of its size; otherwise the sets of the group with fewer sets. Look-ups begin with the rarest
-    shingles and end ``EXTRA`` after the point where a link could no longer hide. The overlap is at most the hits and the
-    shingles not looked up. The groups of a shingle come as lists of bounded length, and a set counts its hits in
-    them, so pairs that do not qualify never become rows.
+    A link of sizes n <= m needs three sevenths of n + m in common, so six sevenths of the smaller set at least, and the
+    smaller set asks. Look-ups in the matrix begin with the shingles of the fewest blocks and end ``EXTRA`` after the
+    point where a link could no longer hide. The overlap with any set of a block is at most the hits in its union and
+    the shingles not looked up. A set always asks its own block.
     """
-    matrix = left.select("owner", F.explode("shingles").alias("shingle")).select("shingle", F.col("owner").alias("group")).distinct()
+    matrix = placed.select("block", F.explode("shingles").alias("shingle")).distinct()
     spread = matrix.groupBy("shingle").agg(F.count("*").alias("spread")).filter("spread > 1")
-    part = F.pmod(F.xxhash64("group"), F.ceil(F.col("spread") / LIST_GROUPS))
-    lists = matrix.join(spread, "shingle").groupBy("shingle", "spread", part.alias("part")).agg(F.sort_array(F.collect_list("group")).alias("groups"))
-
-    # Rows per shingle are the bulk of what moves: they carry the id alone, and what depends on it joins by set.
-    least = F.ceil(6 * F.col("n") / 7) if by_size else needed(F.col("n"))
-    asking = left.filter(F.col("held") >= least)
+    least = F.ceil(6 * F.col("n") / 7)
     extra = F.least(F.lit(EXTRA), least - 1)
-    floor = least if by_size else F.ceil(3 * (F.col("n") + least) / 7)
+    asking = placed.filter(F.col("held") >= least).select("id", "n", F.col("block").alias("own"), least.alias("least"), extra.alias("extra"), "shingles")
     of_set = Window.partitionBy("id")
     shared = asking.select("id", F.explode("shingles").alias("shingle")).join(spread, "shingle")
-    ranked = shared.join(asking.select("id", least.alias("least"), extra.alias("extra")), "id").withColumns(
-        {"rank": F.row_number().over(of_set.orderBy("spread", "shingle")), "held": F.count("*").over(of_set)}
+    ranked = shared.join(asking.drop("shingles"), "id").withColumns(
+        {"rank": F.row_number().over(of_set.orderBy("spread", "shingle")), "some": F.count("*").over(of_set)}
     )
-    asked = ranked.filter("held >= least AND rank <= held - least + 1 + extra").select("id", "shingle")
-    found = asked.join(lists.select("shingle", "groups"), "shingle").select("id", "groups")
-    bounds = asking.select("id", "owner", "n", (least - 1 - extra).alias("rest"), floor.alias("floor"))
-    hits = found.join(bounds, "id").groupBy("id").applyInArrow(_hits, ASKED)
-
-    sizes = left.groupBy("owner").agg(
-        F.count("*").alias("sets"), F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("most").alias("most")
-    )
-    theirs = sizes.withColumnsRenamed({"owner": "group", "sets": "other_sets"})
-    bounded = hits.join(theirs, "group").join(sizes.select("owner", "sets"), "owner")
-    if by_size:
-        partner = F.greatest(F.col("least_n"), F.col("n"))
-        fits = F.col("most") >= F.col("n")
-    else:
-        partner = F.greatest(F.col("least_n"), needed(F.col("n")))
-        fits = (F.col("most_n") >= needed(F.col("n"))) & (F.struct("sets", "owner") < F.struct("other_sets", "group"))
-    opened = bounded.filter(fits & (7 * (F.col("hits") + F.col("rest")) >= 3 * (F.col("n") + partner)))
-    return materialize(opened.select("id", "owner", "n", "group"), "opened")
-
-
-def _compared(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """``pairs`` (id, n, other, ...) with m, the size of the other set, and the Jaccard ``distance`` of both."""
-    mine = left.select("id", F.col("shingles").alias("mine"))
-    theirs = right.select(F.col("id").alias("other"), F.col("n").alias("m"), F.col("shingles").alias("theirs"))
-    common = F.size(F.array_intersect("mine", "theirs"))
-    both = pairs.join(mine, "id").join(theirs, "other").withColumn("common", common).drop("mine", "theirs")
-    return both.withColumn("distance", 1 - F.col("common") / (F.col("n") + F.col("m") - F.col("common")))
-
-
-LINKED = "100 * common >= 75 * (n + m - common)"
-# Rounding of distances; pairs are only ever dropped for more.
-ROUNDING = 1e-9
-
-
-def links_of_leaders(leaders: DataFrame) -> DataFrame:
-    """Edges (a, b) of all links between sets that are groups of their own."""
-    left = possible_links(leaders)
-    opened = opened_groups(left, by_size=True).withColumn("other", F.col("group"))
-    linked = _compared(opened, left, left).filter(LINKED)
-    return materialize(linked.select(F.col("id").alias("a"), F.col("other").alias("b")), "links")
-
-
-def links_of_members(sets: DataFrame, owned: DataFrame) -> DataFrame:
+    asked = ranked.filter("some >= least AND rank <= some - least + 1 + extra").select("id", "shingle")
+    hits = asked.join(matrix, "shingle").groupBy("id", "block").agg(F.count("*").alias("hits"))
+    sizes = placed.groupBy("block").agg(F.min("n").alias("least_n"), F.max("most").alias("most"))
+    bounded = hits.join(asking.drop("shingles"), "id").filter("block != own").join(sizes, "block")
+    reach = F.col("hits") + F.col("least") - 1 - F.col("extra")
+    enough = (reach >= F.col("least")) & (7 * reach >= 3 * (F.col("n") + F.greatest("n", "least_n"))) & (F.col("most") >= F.col("n"))
+    return bounded.filter(enough).select("id", "block").unionByName(asking.select("id", F.col("own").alias("block")))
+
+
+def _open(asked: pa.Table, members: pa.Table) -> pa.Table:
+    """Edges (a, b) between groups: a spanning forest of the links of the asking sets with the sets of one block."""
+    edges: list[tuple[int, int]] = []
+    if asked.num_rows and members.num_rows:
+        sets = _read_sets(members["their_shingles"].combine_chunks())
+        sizes = members["their_n"].to_numpy()
+        owners = members["their_owner"].to_numpy()
+        order = np.argsort(np.concatenate(sets), kind="stable")
+        place = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]
+        tokens, starts = np.unique(np.concatenate(sets)[order], return_index=True)
+        counts = np.diff(np.append(starts, len(place)))
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while x in parent:
+                x = parent[x]
+            return x
+
+        rows = zip(_read_sets(asked["shingles"].combine_chunks()), asked["n"].to_pylist(), asked["owner"].to_pylist())
+        for shingles, n, owner in rows:
+            at = np.searchsorted(tokens, shingles)
+            at[at == len(tokens)] = 0
+            at = at[tokens[at] == shingles]
+            some = counts[at]
+            ends = np.cumsum(some)
+            inner = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[at] - ends + some, some)
+            common = np.bincount(place[inner], minlength=len(sets))
+            linked = (sizes >= n) & (owners != owner) & (100 * common >= 75 * (n + sizes - common))
+            for other in np.unique(owners[linked]).tolist():
+                a, b = root(owner), root(other)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    edges.append((owner, other))
+    return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
+
+
+def links_between_groups(sets: DataFrame, owned: DataFrame) -> DataFrame:
     """Edges (a, b) between owners, such that groups connected by any link of their sets are connected.
 
-    Jaccard distance is a metric. A set is compared with the owner of each opened group; a member can only link
-    with it if its own distance from the owner differs from that by no more than the greatest distance of a link.
+    A block is opened by the sets that ask for it, in shares of bounded size; one row goes out per set and opened
+    block, and no pair of sets becomes a row.
     """
     left = possible_links(sets.join(owned, "id"))
-    opened = opened_groups(left, by_size=False)
-    groups = opened.select("group").distinct()
-    members = left.join(groups, left["owner"] == groups["group"], "left_semi")
-    asked = opened.select("id", "owner", "n", "group", F.col("group").alias("other"), F.lit(False).alias("member"))
-    asked = asked.unionByName(
-        members.select("id", "owner", "n", F.col("owner").alias("group"), F.col("owner").alias("other"), F.lit(True).alias("member"))
-    )
-    compared = materialize(_compared(asked, left, sets), "compared")
-    first = compared.filter("NOT member").filter(LINKED).select(F.col("owner").alias("a"), F.col("group").alias("b")).distinct()
-    joined = components(first)
-    rest = compared.filter("NOT member")
-    for column in ("owner", "group"):
-        side = joined.select(F.col("node").alias(column), F.col("component").alias(f"{column}_component"))
-        rest = rest.join(side, column, "left")
-    rest = rest.filter(F.coalesce("owner_component", "owner") != F.coalesce("group_component", "group"))
-    rest = rest.select("id", "owner", "n", "group", F.col("distance").alias("far"))
-    near = compared.filter("member").select(
-        F.col("id").alias("other"), F.col("owner").alias("group"), F.col("n").alias("m"), F.col("distance").alias("near")
-    )
-    fits = (F.abs(F.col("far") - F.col("near")) <= 0.25 + ROUNDING) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
-    pairs = rest.join(near, (rest["group"] == near["group"]) & fits).drop(near["group"])
-    pairs = pairs.select("id", "other", "n", "owner", "group")
-    second = _compared(pairs, left, left).filter(LINKED).select(F.col("owner").alias("a"), F.col("group").alias("b"))
-    return materialize(first.unionByName(second).distinct(), "links")
+    total = left.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    placed = materialize(placed_in_blocks(left, total), "blocks")
+    opened = materialize(opened_blocks(placed), "opened")
+    asked = opened.join(placed.select("id", "owner", "n", "shingles"), "id")
+    weights = opened.join(placed.select("id", "n"), "id").groupBy("block").agg(F.ceil(F.sum("n") / PART_SHINGLES).alias("shares"))
+    asked = asked.join(weights, "block").withColumn("share", F.pmod(F.xxhash64("id"), "shares"))
+    # Columns of both sides come from one table, so one side has them under names of its own.
+    renamed = {c: f"their_{c}" for c in ("block", "owner", "n", "shingles")}
+    members = placed.select(*renamed).join(weights, "block").withColumnsRenamed(renamed)
+    members = members.withColumn("their_share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+    asking = asked.select("block", "share", "owner", "n", "shingles").groupBy("block", "share")
+    edges = asking.cogroup(members.groupBy("their_block", "their_share")).applyInArrow(_open, "a bigint, b bigint")
+    return materialize(edges, "links")
 
 
 def _merge(owned: DataFrame, edges: DataFrame) -> DataFrame:
@@ -479,8 +463,7 @@ def set_classes(docs: DataFrame, table: DataFrame) -> DataFrame:
     """name of every set with shingles, least doc_id of its rows, and the owner its whole component shares."""
     sets = candidate_sets(docs, table)
     owned = similar_groups(sets)
-    owned = _merge(owned, links_of_leaders(sets.join(owned.filter("id = owner"), "id")))
-    owned = _merge(owned, links_of_members(sets, owned))
+    owned = _merge(owned, links_between_groups(sets, owned))
     least = table.filter("n > 0").groupBy("name", "id").agg(F.min("doc_id").alias("least"))
     return materialize(least.join(owned, "id", "left").withColumn("owner", F.coalesce("owner", "id")), "classes")
 
