@@ -189,6 +189,34 @@ def geo_point_in_polygon(spark, sf_dir):
     return placed.select("point_id", "region")
 
 
+# Corners of two regions that share an edge; order lines stand on a grid over both, many of them on edges and corners.
+NOTCHED = [(1, "west", [(0, 0), (6, 0), (6, 9), (3, 4), (0, 9)]), (2, "east", [(6, 0), (12, 3), (6, 9)])]
+NOTCHED_SQL = "(VALUES " + ", ".join(
+    f"({no}, '{name}', {x1}, {y1}, {x2}, {y2})"
+    for no, name, corners in NOTCHED
+    for (x1, y1), (x2, y2) in zip(corners, corners[1:] + corners[:1])
+) + ") AS e(no, region, x1, y1, x2, y2)"
+
+
+@check(
+    "geo_exact_edges",
+    f"""WITH p AS (SELECT CAST(l_partkey % 15 - 1 AS BIGINT) AS x, CAST(l_suppkey % 12 - 1 AS BIGINT) AS y, count(*) AS n FROM lineitem GROUP BY 1, 2),
+      t AS (SELECT p.*, no, region,
+          bool_or((x2 - x1) * (y - y1) = (y2 - y1) * (x - x1) AND x BETWEEN least(x1, x2) AND greatest(x1, x2) AND y BETWEEN least(y1, y2) AND greatest(y1, y2)) AS touched,
+          count(*) FILTER ((y1 > y) != (y2 > y) AND ((x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)) * sign(y2 - y1) > 0) % 2 = 1 AS odd
+        FROM p CROSS JOIN {NOTCHED_SQL} GROUP BY ALL)
+      SELECT x, y, any_value(n) AS n, max_by(region, no) FILTER (odd AND NOT touched) AS region, max_by(region, no) FILTER (touched) AS edge_of FROM t GROUP BY x, y""",
+)
+def geo_exact_edges(spark, sf_dir):
+    rows = [(no, name, 0, i, float(x) / 10, float(y) / 10) for no, name, corners in NOTCHED for i, (x, y) in enumerate(corners)]
+    regions = inline_table(spark, ["region_no", "region", "part", "seq", "x", "y"], rows)
+    x, y = F.col("l_partkey") % 15 - 1, F.col("l_suppkey") % 12 - 1
+    lines = V.table(spark, sf_dir, "lineitem").select(x.cast("bigint").alias("x"), y.cast("bigint").alias("y"))
+    # Tenths have no exact binary form.
+    points = lines.groupBy("x", "y").agg(F.count("*").alias("n")).withColumns({"lon": F.col("x") / 10, "lat": F.col("y") / 10})
+    return geo.assign_region_exactly(points, regions, "lon", "lat").select("x", "y", "n", "region", "edge_of")
+
+
 @check(
     "geo_grid_cell",
     with_views(

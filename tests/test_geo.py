@@ -44,6 +44,18 @@ def test_holes_parts_and_overlap(spark):
     assert located(spark, polygons, points) == {0: "outer", 1: None, 2: "upper", 3: "upper", 4: None, 5: None}
 
 
+def test_edges_and_corners_are_not_inside(spark):
+    square = lambda a, b: [(a, a), (b, a), (b, b), (a, b)]
+    polygons = spark.createDataFrame(ring(1, "low", 0, square(0.1, 0.7)) + ring(2, "high", 0, square(0.7, 1.3)), POLYGON)
+    points = [(0, 0.3, 0.3), (1, 0.7, 0.3), (2, 0.7, 0.7), (3, 0.1, 0.1), (4, 0.9, 1.3), (5, 0.9, 0.9), (6, 2.0, 0.3), (7, None, 0.3), (8, 0.7000001, 0.9)]
+    df = spark.createDataFrame(points, "i int, lon double, lat double")
+    wanted = {0: ("low", None), 1: (None, "low"), 2: (None, "high"), 3: (None, "low"), 4: (None, "high"), 5: ("high", None)}
+    wanted |= {6: (None, None), 7: (None, None), 8: ("high", None)}
+    for bands in (1, 7, 256):
+        rows = geo.assign_region_exactly(df, polygons, "lon", "lat", bands=bands).collect()
+        assert {r["i"]: (r["region"], r["edge_of"]) for r in rows} == wanted
+
+
 def test_points_are_not_multiplied(spark):
     points = spark.range(1000).select(F.col("id").alias("i"), (F.rand(1) * 10).alias("lon"), (F.rand(2) * 10).alias("lat"))
     df = geo.assign_region(points, V.polygons(spark), "lon", "lat")
