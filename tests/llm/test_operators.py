@@ -297,6 +297,43 @@ def test_personal_data(docs):
     assert pii.added_spans(text, pii.base_spans(text), weights) == [(5, 19, "phone")]
 
 
+@pytest.mark.parametrize("rule", ["first", "most"])
+def test_section_counts_byte_by_byte(spark, rule):
+    """Every token's bytes dealt one by one to the sections (lines, each with its line end) of both fields."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    texts = ["one\n\n\n two\r\n\r\n  three", "\n\n", "", None, "über 日本\n\n\n\n語 \t\n x = 1;\n    y\n", "a" * 400 + "\n" + " b" * 300, "\n \n \n\n", "end\n"]
+    rows = [(i, texts[-1 - i], text) for i, text in enumerate(texts)] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").repartition(3)
+    encoding, _ = token_counts._encoding(path, public_tokenizers.PATTERN)
+    wanted, crossed = Counter(), 0
+    for doc_id, source, text in rows:
+        fields = [source or "", text or ""]
+        whole = "\n".join(fields)
+        names = [(f, k) for f, field in enumerate(fields) for k in range(field.count("\n") + 1)]
+        place, own = 0, []
+        for byte in whole.encode():
+            own.append(place)
+            place += byte == 0x0A
+        tokens, crossing, at = Counter(), Counter(), 0
+        for token in encoding.encode_ordinary(whole):
+            held = own[at : at + len(encoding.decode_single_token_bytes(token))]
+            at += len(held)
+            share = Counter(held)
+            owner = held[0] if rule == "first" else min(share, key=lambda k: (-share[k], k))
+            tokens[owner] += 1
+            crossing[owner] += len(share) > 1
+        assert at == len(own)
+        lines = whole.split("\n")
+        start = 0
+        for k, (name, line) in enumerate(zip(names, lines)):
+            end = start + len(line) + (k + 1 < len(lines))
+            wanted[(doc_id, *name, start, end, tokens[k], crossing[k])] += 1
+            start = end
+        crossed += crossing.total()
+    got = token_counts.token_counts(docs, path, public_tokenizers.PATTERN, ("source", "text"), rule).collect()
+    assert crossed > 0 and Counter(tuple(r) for r in got) == wanted
+
+
 @pytest.mark.parametrize("rule", ["first", "most"])
 def test_token_counts(docs, rule):
     rows = token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ("source", "text"), rule).collect()
