@@ -9,7 +9,7 @@ from checks.columns import COMBO_SQL, COUNTY_SQL, DATE_SQL, USABLE_SQL
 from checks.registry import check
 from checks.views import with_views
 from urbanspark.functions import clean
-from urbanspark.operators import explore
+from urbanspark.operators import explore, quantiles
 from urbanspark.plans import tickets
 from urbanspark.streaming import windows
 
@@ -240,6 +240,23 @@ def box_price(spark, sf_dir):
     return rounded(explore.box_summary(V.table(spark, sf_dir, "lineitem"), "l_extendedprice"), ["q1", "median", "q3"])
 
 
+@check(
+    "box_price_by_flag",
+    """WITH q AS (SELECT l_returnflag, l_linestatus, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
+                    quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem GROUP BY 1, 2),
+          f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+       SELECT l_returnflag, l_linestatus, count(*) AS n, round(any_value(q1), 6) AS q1, round(any_value(median), 6) AS median,
+              round(any_value(q3), 6) AS q3, min(l_extendedprice) FILTER (l_extendedprice BETWEEN lo AND hi) AS whisker_low,
+              max(l_extendedprice) FILTER (l_extendedprice BETWEEN lo AND hi) AS whisker_high,
+              CAST(count(*) FILTER (NOT l_extendedprice BETWEEN lo AND hi) AS BIGINT) AS n_outliers
+       FROM lineitem JOIN f USING (l_returnflag, l_linestatus) GROUP BY 1, 2""",
+)
+def box_price_by_flag(spark, sf_dir):
+    """Few groups with nearly as many distinct values as rows."""
+    boxes = quantiles.box_per_key(V.table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice")
+    return rounded(boxes, ["q1", "median", "q3"])
+
+
 # --- sets, dedup, joins --------------------------------------------------------------------------
 
 

@@ -17,6 +17,8 @@ from urbanspark.streaming.messages import replay_files
 
 WINDOW = 1000
 OFFSET = "message_offset"
+# Epochs a sink keeps: the newest, and the one a repeated micro-batch starts from.
+KEEP = 2
 
 # The last window counts only when it is full.
 WINDOW_SQL = """, whole AS (SELECT message_offset // 1000 AS batch_no FROM messages GROUP BY 1 HAVING count(*) = 1000),
@@ -66,7 +68,7 @@ def running_half_mean(spark, sf_dir):
 def stream_month_stats(spark, sf_dir):
     folder = work_folder(spark, "month_stats")
     messages = message_stream(spark, sf_dir)
-    live.start_month_stats(messages, "violation_county", f"{folder}/sink", f"{folder}/checkpoint", V.MIN_YEAR).awaitTermination()
+    live.start_month_stats(messages, "violation_county", f"{folder}/sink", f"{folder}/checkpoint", V.MIN_YEAR, KEEP).awaitTermination()
     return rounded(live.read_epoch(spark, f"{folder}/sink"), STATS)
 
 
@@ -74,7 +76,7 @@ def stream_state(spark, sf_dir, group):
     folder = work_folder(spark, "half_mean")
     messages = message_stream(spark, sf_dir)
     live.start_half_mean(
-        messages, group, f"{folder}/sink", f"{folder}/checkpoint", OFFSET, WINDOW, V.MIN_YEAR
+        messages, group, f"{folder}/sink", f"{folder}/checkpoint", OFFSET, WINDOW, V.MIN_YEAR, keep=KEEP
     ).awaitTermination()
     return live.read_epoch(spark, f"{folder}/sink/state")
 
@@ -164,6 +166,7 @@ def view_borough_partitions(spark, sf_dir):
         PART_SIZE,
         V.MIN_YEAR,
         "partition_no",
+        KEEP,
     ).awaitTermination()
     state = live.read_epoch(spark, f"{folder}/sink/state")
     return rounded(live.view_groups(live.merge_partitions(state, "violation_county"), "violation_county"), STATS)

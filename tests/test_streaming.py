@@ -76,6 +76,37 @@ def test_stream_equals_batch(spark, parts):
     assert live.read_epoch(spark, f"{out}/sink/carry").count() == 1000 % 130
 
 
+def test_old_epochs_are_forgotten(spark):
+    """Two epochs per folder remain, the result is that of a stream which keeps all, and the last batch can be run again."""
+    base, rows = message_files(spark, 6)
+    sink = work_folder(spark, "sink")
+    step = live.half_mean_batch(KEYS[1], sink, "message_offset", 130, 1995, keep=2)
+    parts = [spark.read.parquet(f"{base}/{i}") for i in range(6)]
+    for epoch, part in enumerate(parts):
+        step(part, epoch)
+    step(parts[5], 5)
+    assert {name: live.epochs(spark, f"{sink}/{name}") for name in ("state", "carry", "positions")} == dict.fromkeys(
+        ("state", "carry", "positions"), [4, 5]
+    )
+    stats = windows.window_stats(rows, KEYS[1], "message_offset", 130, 1995)
+    assert_same(rows_by_key(live.read_epoch(spark, f"{sink}/state")), rows_by_key(windows.running_half_mean(stats, KEYS)))
+    with pytest.raises(ValueError):
+        live.forget_epochs(spark, f"{sink}/state", 1)
+
+
+def test_month_stats_keep_counts_of_values_only(spark):
+    base, rows = message_files(spark, 3)
+    out = work_folder(spark, "out")
+    stream = messages.replay_files(spark, f"{base}/*", rows.schema, files_per_batch=1)
+    query = live.start_month_stats(stream, KEYS[1], f"{out}/sink", f"{out}/checkpoint", 1995, keep=2)
+    query.awaitTermination()
+    live_rows = windows.live_columns(rows.filter(windows.usable_year(1995))).dropna(subset=[KEYS[1]])
+    distinct = live_rows.select(*KEYS, "vehicle_year_number").distinct().count()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == distinct
+    assert live.epochs(spark, f"{out}/sink") == [1, 2]
+    assert_same(rows_by_key(live.read_epoch(spark, f"{out}/sink")), rows_by_key(windows.month_stats(rows, KEYS[1], 1995)))
+
+
 def test_restart_continues_from_the_checkpoint(spark):
     base, rows = message_files(spark, 2)
     out, second = work_folder(spark, "out"), work_folder(spark, "later")

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from urbanspark.operators.quantiles import COUNT, VALUE, quantiles_of_counts
 from urbanspark.operators.tables import materialize
 
 STATISTICS = ["mean", "std", "median", "max", "min"]
@@ -53,7 +53,8 @@ def stats_of_counts(counted: DataFrame, keys: list[str], center: float = 0.0) ->
     """Mean, sample deviation, exact median, max and min per key of a ``count_values`` table.
 
     ``center`` is any number near the values; squares are taken around it to keep their digits.
-    A group of one value has a null deviation.
+    A group of one value has a null deviation. The median's buffer holds the distinct values of a key, so this is for
+    values of a bounded domain such as years; ``quantiles.box_per_key`` has no such buffer.
     """
     shifted, weight = F.col("__v") - F.lit(center), F.col("__c")
     sums = counted.groupBy(*keys).agg(
@@ -118,49 +119,11 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
 VALUES_PER_RANGE = 1_000_000
 
 
-def _cumulative_counts(counted: DataFrame) -> DataFrame:
-    """``v, c, before``: rows smaller than ``v``, without sorting everything in one task.
-
-    Values are cut into ranges of similar size; the totals of the ranges (one row per range) give
-    each range its offset, and the running sum inside a range is an ordinary window.
-    """
-    ranges = min(5000, 8 + counted.count() // VALUES_PER_RANGE)
-    cuts = counted.approxQuantile("v", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="v", outputCol="range").transform(counted)
-    totals = ranged.groupBy("range").agg(F.sum("c").alias("t"))
-    in_order = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("range", F.coalesce(F.sum("t").over(in_order), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ranged.withColumn("inside", F.coalesce(F.sum("c").over(inside), F.lit(0)))
-        .join(F.broadcast(offsets), "range")  # at most 5000 rows
-        .select("v", "c", (F.col("offset") + F.col("inside")).alias("before"))
-    )
-
-
 def exact_quantiles(counted: DataFrame, probabilities: list[float]) -> list[float]:
-    """Linear-interpolated quantiles of a table of value counts (v, c)."""
-    n = counted.agg(F.sum("c")).first()[0]
-    if not n:
-        return [float("nan")] * len(probabilities)
-    places = [p * (n - 1) for p in probabilities]
-    wanted = sorted({int(place) + step for place in places for step in (0, 1) if int(place) + step < n})
-    ranks = _cumulative_counts(counted)
-    hit = F.array(*[F.lit(w) for w in wanted])
-    found = (
-        ranks.withColumn("place", F.explode(hit))
-        .filter("place >= before AND place < before + c")
-        .select("place", "v")
-        .collect()  # two values per quantile
-    )
-    at = {row["place"]: row["v"] for row in found}
-    result = []
-    for place in places:
-        low = at[int(place)]
-        high = at.get(int(place) + 1, low)
-        result.append(low + (place - int(place)) * (high - low))
-    return result
+    """Linear-interpolated quantiles of a table of value counts (v, c); NaN if it is empty."""
+    renamed = counted.select(F.col("v").alias(VALUE), F.col("c").alias(COUNT))
+    row = quantiles_of_counts(renamed, [], probabilities, VALUES_PER_RANGE).first()
+    return list(row["quantiles"]) if row else [float("nan")] * len(probabilities)
 
 
 def box_summary(df: DataFrame, value: str) -> DataFrame:

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from urbanspark.operators.explore import STATISTICS, mean_of_groups
-from urbanspark.session import child_names, path_exists
+from urbanspark.operators.explore import STATISTICS, mean_of_groups, stats_of_counts
+from urbanspark.session import child_names, delete_folder, path_exists
 from urbanspark.streaming.windows import (
+    YEAR_CENTER,
     advance_state,
     fold_windows,
     live_columns,
@@ -44,26 +45,45 @@ def write_epoch(df: DataFrame, folder: str, epoch: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/epoch={epoch}")
 
 
-def start_month_stats(messages: DataFrame, group: str, sink: str, checkpoint: str, min_year: int = 2012) -> StreamingQuery:
+def forget_epochs(spark: SparkSession, folder: str, keep: int | None) -> None:
+    """Delete all epochs of a sink folder older than the ``keep`` newest finished ones; with None all stay.
+
+    A micro-batch that is run again reads the epoch before its own, so at least two are kept.
+    """
+    if keep is None:
+        return
+    if keep < 2:
+        raise ValueError("a repeated micro-batch needs the epoch before its own: keep 2 or more")
+    finished = [e for e in epochs(spark, folder) if path_exists(spark, f"{folder}/epoch={e}/_SUCCESS")]
+    if len(finished) > keep:
+        for epoch in epochs(spark, folder):
+            if epoch < finished[-keep]:
+                delete_folder(spark, f"{folder}/epoch={epoch}")
+
+
+def start_month_stats(
+    messages: DataFrame, group: str, sink: str, checkpoint: str, min_year: int = 2012, keep: int | None = None
+) -> StreamingQuery:
     """Exact running statistics per month and group; each epoch holds the whole result table.
 
-    State is one aggregation buffer per (month, group). Source time never bounds it: a late ticket
-    still belongs to its month, so there is no watermark.
+    State is one count per (month, group, vehicle year), so it grows with distinct values and not with messages;
+    the statistics are read from the counts of a micro-batch. Source time never bounds it: a late
+    ticket still belongs to its month, so there is no watermark.
     """
     live = live_columns(messages.filter(usable_year(min_year))).dropna(subset=[group])
-    value = F.col("vehicle_year_number")
-    stats = live.groupBy("year_month", group).agg(
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.median(value).alias("median"),
-        F.max(value).alias("max"),
-        F.min(value).alias("min"),
-    )
+    keys = ["year_month", group]
+    counts = live.groupBy(*keys, F.col("vehicle_year_number").alias("__v")).agg(F.count("*").alias("__c"))
+
+    def step(counted: DataFrame, epoch: int) -> None:
+        known = counted.withColumn("__c", F.when(F.col("__v").isNotNull(), F.col("__c")).otherwise(0))
+        write_epoch(stats_of_counts(known, keys, YEAR_CENTER), sink, epoch)
+        forget_epochs(counted.sparkSession, sink, keep)
+
     return (
-        stats.writeStream.outputMode("complete")
+        counts.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda df, epoch: write_epoch(df, sink, epoch))
+        .foreachBatch(step)
         .start()
     )
 
@@ -90,12 +110,13 @@ def read_windows(
 
 
 def half_mean_batch(
-    group: str, sink: str, offset: str, size: int, min_year: int = 2012, partition: str | None = None
+    group: str, sink: str, offset: str, size: int, min_year: int = 2012, partition: str | None = None, keep: int | None = None
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch step of the windowed state: complete windows update it, the rest is carried over.
 
     The order of the windows is given inside a broker partition only, so each ``partition`` has a state of
-    its own and the result does not depend on how the stream is cut into micro-batches.
+    its own and the result does not depend on how the stream is cut into micro-batches. ``keep`` bounds the epochs of
+    each sink folder, see ``forget_epochs``.
     """
     keys = [*([partition] if partition else []), "year_month", group]
 
@@ -111,6 +132,8 @@ def half_mean_batch(
             state = advance_state(before, folded, keys)
         write_epoch(state, f"{sink}/state", epoch)
         numbered.unpersist()
+        for part in ("state", "carry", "positions"):
+            forget_epochs(spark, f"{sink}/{part}", keep)
 
     return step
 
@@ -124,12 +147,13 @@ def start_half_mean(
     size: int,
     min_year: int = 2012,
     partition: str | None = None,
+    keep: int | None = None,
 ) -> StreamingQuery:
     """Windowed state (new = mean of old and window) kept by a stream; read with ``read_epoch(sink/state)``."""
     return (
         messages.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(half_mean_batch(group, sink, offset, size, min_year, partition))
+        .foreachBatch(half_mean_batch(group, sink, offset, size, min_year, partition, keep))
         .start()
     )
 
