@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from urbanspark.llm.names import free_prefix
 from urbanspark.operators.tables import materialize
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -90,11 +91,13 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     Copies of frequent texts go in the map task; what is left is shuffled once by digest, and the
     group limit below the shuffle sends one row per digest and task.
     """
+    own = free_prefix(docs)
+    digest, last, keep, rank = (own + name for name in ("digest", "last", "keep", "rank"))
     heavy = heavy_groups(digest_table(docs)).select(
-        F.col("text_sha256").alias("__digest"), F.col("best.last").alias("__last"), F.col("best.doc_id").alias("__keep")
+        F.col("text_sha256").alias(digest), F.col("best.last").alias(last), F.col("best.doc_id").alias(keep)
     )
-    tagged = docs.withColumn("__digest", text_digest(F.col("text")))
-    known = tagged.join(F.broadcast(heavy), "__digest", "left")
-    left = known.filter(F.col("__last").isNull() | F.col("__last") | (F.col("doc_id") == F.col("__keep")))
-    first = Window.partitionBy("__digest").orderBy(F.col("doc_id").asc_nulls_last())
-    return left.withColumn("__rank", F.row_number().over(first)).filter("__rank = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    tagged = docs.withColumn(digest, text_digest(F.col("text")))
+    known = tagged.join(F.broadcast(heavy), digest, "left")
+    left = known.filter(F.col(last).isNull() | F.col(last) | (F.col("doc_id") == F.col(keep)))
+    first = Window.partitionBy(digest).orderBy(F.col("doc_id").asc_nulls_last())
+    return left.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -4,19 +4,21 @@ The mix takes ``share`` times all words. Sources share it by weight; a source gi
 ``max_copies`` times its own words, and what it cannot give is shared again among the others. Every
 document of a source then has the same fractional number of copies.
 
-Method. The whole copies are certain; the fraction is a probability. Documents of similar size are
-paired: words move at random from one of the pair to the other until one of the two fractions is 0
+Method. The whole copies are certain; the fraction is a probability. Documents are paired in falling
+order of size: words move at random from one of the pair to the other until one of the two fractions is 0
 or 1, with odds that keep every document's expectation. The sum of words is kept exactly, so each
-source ends within one document of its target. A reduction tree makes this parallel: bounded
+source ends within one document of its target; small documents come last and take up what large ones
+left over, so that document is rarely a large one. A reduction tree makes this parallel: bounded
 buckets of a source leave one undecided document each, those meet in the next level, and so on;
 the last one of a source is drawn.
 
-The draws hash the document's id and the seed, and buckets depend on hashes and counts only, so
-reruns agree on any cluster. Documents stream through a bucket one at a time.
+Draws and buckets hash the document's id, its size, the seed and a number among the rows with this source,
+id and size, so reruns agree on any cluster and a row repeated many times, or rows without ids, spread over
+all buckets. Documents stream through a bucket one at a time.
 
 Defined results: a null text has size 0 and takes 0; null sources are one source, the last; a
-repeated row is a document of its own; an empty table gives no rows. Rows without an id are drawn
-alike. Only doc_id, text and source are read.
+repeated row is a document of its own, as is each row without an id; an empty table gives no rows. Only
+doc_id, text and source are read.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from urbanspark.llm.names import free_prefix
 from urbanspark.operators.tables import broadcast_within, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,6 +41,8 @@ MAX_COPIES = 2.0
 BUCKET_ROWS = 1024
 FAN_IN = 64
 DECIDED = 1e-9
+# Equal rows that one task numbers at once.
+NUMBERED_ROWS = 4096
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
@@ -46,6 +51,23 @@ def document_sizes(docs: DataFrame) -> DataFrame:
     return materialize(docs.select("doc_id", "source", size.alias("size")), "mix-sizes")
 
 
+def numbered_rows(sizes: DataFrame) -> DataFrame:
+    """source, doc_id, size and a ``number`` from 0 among the rows that share them.
+
+    Equal rows are counted, with partial counts in each task, and numbered from the count. Counts above
+    NUMBERED_ROWS are dealt out in pieces, so no task writes all rows of one of them.
+    """
+    key = ["source", "doc_id", "size"]
+    counted = materialize(sizes.groupBy(*key).agg(F.count("*").alias("rows")), "mix-counts")
+    few = counted.filter(F.col("rows") <= NUMBERED_ROWS).withColumn("number", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1)))
+    many = counted.filter(F.col("rows") > NUMBERED_ROWS)
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1, F.lit(NUMBERED_ROWS).cast("bigint"))
+    pieces = many.withColumn("start", F.explode(starts)).repartition(*key, "start")
+    last = F.least(F.col("start") + NUMBERED_ROWS, F.col("rows")) - 1
+    pieces = pieces.withColumn("number", F.explode(F.sequence("start", last)))
+    return few.select(*key, "number").unionByName(pieces.select(*key, "number"))
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_copies: float = MAX_COPIES) -> DataFrame:
     """One row per source: source, source_no, source_size, n_docs, target.
 
@@ -123,7 +145,7 @@ SCHEMA = "doc_id bigint, source_no int, size bigint, base bigint, fraction doubl
 
 def _level(rows: DataFrame, name: str) -> DataFrame:
     dealt = rows.select(*COLUMNS).repartition("source_no", "bucket")
-    ordered = dealt.sortWithinPartitions("source_no", "bucket", "size", "draw", "doc_id")
+    ordered = dealt.sortWithinPartitions("source_no", "bucket", F.desc("size"), "draw", "doc_id")
     return materialize(ordered.mapInArrow(_pivot, SCHEMA), name)
 
 
@@ -135,8 +157,8 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_co
     sides = broadcast_within(targets.withColumnRenamed("source", "own_source"), n_sources)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     buckets = F.ceil(F.col("n_docs") / BUCKET_ROWS)
-    draw = (F.xxhash64(F.lit(seed), "doc_id").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))).alias("draw")
-    known = sizes.join(sides, F.col("source").eqNullSafe(F.col("own_source")))
+    draw = (F.xxhash64(F.lit(seed), "doc_id", "size", "number").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))).alias("draw")
+    known = numbered_rows(sizes).join(sides, F.col("source").eqNullSafe(F.col("own_source")))
     rows = known.withColumn("rate", rate).select(
         "doc_id",
         "source_no",
@@ -144,7 +166,7 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_co
         F.floor("rate").alias("base"),
         (F.col("rate") - F.floor("rate")).alias("fraction"),
         draw,
-        F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), buckets).alias("bucket"),
+        F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size", "number"), buckets).alias("bucket"),
     )
     open_ = (F.col("fraction") > 0) & (F.col("fraction") < 1)
     width, decided = math.ceil((most or 0) / BUCKET_ROWS), []
@@ -168,16 +190,17 @@ def repeat_documents(docs: DataFrame, mix: DataFrame) -> DataFrame:
 
     Rows that share doc_id, source and size share their copies in the order of their texts.
     """
+    prefix = free_prefix(docs)
+    own, copies, rows, times, copy = (prefix + name for name in ("own", "copies", "rows", "times", "copy"))
     key = ["doc_id", "source", "size"]
-    wanted = mix.groupBy(*key).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
-    wanted = wanted.filter("__copies > 0").withColumnsRenamed({c: f"__{c}" for c in key})
+    wanted = mix.groupBy(*key).agg(F.sum("copies").alias(copies), F.count("*").alias(rows))
+    wanted = wanted.filter(F.col(copies) > 0).withColumnsRenamed({c: prefix + c for c in key})
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("bigint")
-    own = docs.withColumn("__own", size)
-    joined = own.join(
-        wanted, own["doc_id"].eqNullSafe(F.col("__doc_id")) & own["source"].eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__size"))
-    )
-    rank = F.row_number().over(Window.partitionBy("doc_id", "source", "__own").orderBy("text"))
-    share = F.floor(F.col("__copies") / F.col("__rows")) + F.when(rank <= F.col("__copies") % F.col("__rows"), 1).otherwise(0)
-    numbered = joined.withColumn("__times", share.cast("int"))
-    repeated = numbered.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__times"))))
+    sized = docs.withColumn(own, size)
+    same = F.col("doc_id").eqNullSafe(F.col(f"{prefix}doc_id")) & F.col("source").eqNullSafe(F.col(f"{prefix}source"))
+    joined = sized.join(wanted, same & (F.col(own) == F.col(f"{prefix}size")))
+    rank = F.row_number().over(Window.partitionBy("doc_id", "source", own).orderBy("text"))
+    share = F.floor(F.col(copies) / F.col(rows)) + F.when(rank <= F.col(copies) % F.col(rows), 1).otherwise(0)
+    numbered = joined.withColumn(times, share.cast("int"))
+    repeated = numbered.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(times))))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

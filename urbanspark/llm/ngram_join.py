@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanspark.llm.components import components
+from urbanspark.llm.names import free_prefix
 from urbanspark.llm.words import Slice, mix, slices, windows
 from urbanspark.operators.tables import broadcast_within, materialize
 
@@ -489,14 +490,16 @@ def one_per_component(docs: DataFrame) -> DataFrame:
     classes = set_classes(docs, table)
     rows = table.filter("n > 0").join(classes.select("name", "owner"), "name")
     least = rows.filter("doc_id IS NOT NULL").groupBy("owner").agg(F.min(F.struct("doc_id", "key")).alias("row"))
-    single = least.select("row.doc_id", "row.key", F.lit(True).alias("__single"))
+    prefix = free_prefix(docs)
+    id_, no_id, key_, single_, rank_ = (prefix + name for name in ("id", "no_id", "key", "single", "rank"))
+    single = least.select("row.doc_id", "row.key", F.lit(True).alias(single_))
     without = rows.join(least.select("owner"), "owner", "left_anti").unionByName(table.filter("n = 0"), allowMissingColumns=True)
-    kept = single.unionByName(without.select("doc_id", "key").distinct().withColumn("__single", F.lit(False)))
+    kept = single.unionByName(without.select("doc_id", "key").distinct().withColumn(single_, F.lit(False)))
     # A null text has a null key. All key columns are not null, so the rank needs no second shuffle of the texts.
     none = F.unhex(F.lit(""))
-    place = {"__id": F.coalesce("doc_id", F.lit(0)), "__no_id": F.isnull("doc_id"), "__key": F.coalesce("key", none)}
-    kept = kept.withColumns(place).select(*place, "__single")
-    own = docs.withColumns({**place, "__key": F.coalesce(text_key(), none)}).join(kept, list(place))
+    place = {id_: F.coalesce("doc_id", F.lit(0)), no_id: F.isnull("doc_id"), key_: F.coalesce("key", none)}
+    kept = kept.withColumns(place).select(*place, single_)
+    own = docs.withColumns({**place, key_: F.coalesce(text_key(), none)}).join(kept, list(place))
     rank = F.row_number().over(Window.partitionBy(*place).orderBy(F.lit(0)))
-    stay = own.withColumn("__rank", rank).filter("NOT __single OR __rank = 1")
+    stay = own.withColumn(rank_, rank).filter(~F.col(single_) | (F.col(rank_) == 1))
     return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
