@@ -444,3 +444,65 @@ def test_one_per_component_keeps_unique_texts_of_one_id(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = sorted((r["doc_id"], r["text"]) for r in ngram_join.one_per_component(docs).collect())
     assert kept == sorted([rows[0], *rows[2:]])
+
+
+@pytest.mark.parametrize("others", [0, 1, 2, 18, 19, 20, 40])
+def test_verdicts_do_not_turn_at_a_number_of_documents(spark, others):
+    """One text of digits and signs goes, whatever the number of other documents of its language; those stay."""
+    rng = random.Random(others)
+
+    def prose(letters, common):
+        words = ["".join(rng.choice(letters) for _ in range(6)) for _ in range(40)] + common * 2
+        return " ".join(rng.choice(words) for _ in range(300)).capitalize()
+
+    rows = [(i, prose("abcdefghij", "the of and to in is it".split()), "en") for i in range(60)]
+    rows += [(100 + i, prose("klmnoprstu", "nie na do to jest".split()), "pl") for i in range(others)]
+    rows += [(200, prose("0123456789#", []), "pl"), (201, prose("бвгджз", ["и"]), "bg")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(2)
+    dropped = {r.doc_id for r in quality_rules.judge_documents(docs).collect() if not r.kept}
+    assert dropped == {200}
+
+
+def test_mix_is_near_its_target_over_seeds(spark):
+    """The mean distance from the target over seeds is that of small documents, though sizes differ a hundredfold."""
+    rng = random.Random(5)
+    sizes = [int(2 ** rng.uniform(3, 10)) for _ in range(90)]
+    docs = spark.createDataFrame([(i, "w " * n, "ab"[i % 2]) for i, n in enumerate(sizes)], "doc_id bigint, text string, source string")
+    docs = docs.persist()
+    misses = []
+    for seed in range(8):
+        for r in mixing.mix_documents(docs, seed=seed).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+            misses.append(abs(r.taken - r.target))
+    docs.unpersist()
+    assert sum(misses) / len(misses) < 0.25 * max(sizes)
+
+
+def test_equal_rows_are_dealt_out(spark, monkeypatch):
+    """Rows without ids and of one size get draws of their own: about their share of copies, not all or none."""
+    monkeypatch.setattr(mixing, "NUMBERED_ROWS", 100)
+    docs = spark.createDataFrame([(None, "a b c", "s")] * 3000 + [(i, "a b c d", "t") for i in range(3000)], "doc_id bigint, text string, source string")
+    numbered = mixing.numbered_rows(mixing.document_sizes(docs))
+    assert sorted(r.number for r in numbered.filter("doc_id IS NULL").collect()) == list(range(3000))
+    for r in mixing.mix_documents(docs).groupBy("source").agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+        assert r.n == 3000 and abs(r.taken - r.target) <= 4
+
+
+@pytest.mark.parametrize("step", ["copies", "near", "mix"])
+def test_clashing_columns_come_back_as_they_were(spark, step):
+    """Columns named like helpers, with any number of underscores, keep their values."""
+    extra = ["__own", "__digest", "__rank", "__id", "__key", "___rank", "copies", "n"]
+    rows = [(1, "one two three four five six", "a"), (1, "one two three four five six", "a"), (2, None, None), (None, "x y", "b")]
+    docs = spark.createDataFrame(
+        [(*row, *[f"{i}{c}" for c in extra]) for i, row in enumerate(rows)],
+        "doc_id bigint, text string, source string, " + ", ".join(f"`{c}` string" for c in extra),
+    )
+    run = {
+        "copies": exact_dedup.drop_copies,
+        "near": ngram_join.one_per_component,
+        "mix": lambda d: mixing.repeat_documents(d, mixing.mix_documents(d)),
+    }[step]
+    for table in (docs, docs.limit(0)):
+        got = run(table)
+        assert got.columns == docs.columns
+        given = {tuple(r) for r in table.collect()}
+        assert {tuple(r) for r in got.collect()} <= given

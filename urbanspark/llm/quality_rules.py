@@ -4,16 +4,20 @@ Base rules: a document fails with fewer than ``MIN_WORDS`` words, or if more tha
 three-word windows found twice or more in it.
 
 Method. Two histograms describe a text: characters by class, and frequent function words against all
-other words. The references are the mean histograms of each language over all documents that pass the base
-rules, computed twice: the second time without documents far from the first references, so junk leaves no
-mark on them. A document is compared with its own language and with the ``MAX_LANGUAGES`` largest, takes the nearest by
-Jensen-Shannon distance (base 2) and is dropped if a distance exceeds its limit. Limits are wider for short texts, whose
-histograms vary by chance.
+other words. Distances are Jensen-Shannon distances (base 2) and have limits, wider for short texts, whose histograms
+vary by chance.
+
+First every document is compared with the mean of all documents that pass the base rules, letters of all kinds as one
+class: this holds for any language and script and drops what is no prose at all. Then come the references of the
+languages, the mean histograms of the documents that passed so far, computed twice: the second time without documents
+far from the first references, so junk leaves no mark on them. A document is compared with its own language and with the
+``MAX_LANGUAGES`` largest and takes the nearest. The fewer documents a reference comes from, the wider are the limits,
+without a step: verdicts do not turn at some number of documents of a language.
 
 Defined results: a null text has no words and fails; a null language gives no reference but the document
-is compared with the largest; languages with fewer than ``MIN_DOCUMENTS`` documents, in all or near the first references,
-have no reference, and the base rules alone decide on their documents; repeated rows are judged each; an empty table gives
-no rows.
+is compared with the largest; a language with one document, in all or near the first references, has no reference, as
+that would be the document itself, and its documents are compared with the mean of all documents only; repeated rows are
+judged each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,13 +40,16 @@ CLASS_LIMIT = (0.16, 6.0)
 WORD_LIMIT = (0.45, 6.0)
 # Second references come from documents nearer than this to the first ones.
 TRIM = 0.15
-MIN_DOCUMENTS = 20
+# Limit of the distance from all documents, and what a reference of n documents adds to the limits above, divided by n.
+GENERAL_LIMIT = (0.45, 6.0)
+FEW_DOCUMENTS = 0.9
 # References that go to every task, about 1 kB each, for documents whose language is missing or wrong. Each document
 # gets the reference of its own language by a join, whatever its size.
 MAX_LANGUAGES = 1000
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 N_CLASSES, N_WORDS = len(CLASSES), len(WORD_LIST) + 1
+LETTERS = [CLASSES.index(name) for name in ("lower", "upper", "letter")]
 
 
 def _lists(values: np.ndarray) -> pa.ListArray:
@@ -86,6 +93,30 @@ def jensen_shannon(rows: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(divergence(rows) + divergence(np.broadcast_to(reference, rows.shape)), 0) / 2)
 
 
+def _any_script(classes: np.ndarray) -> np.ndarray:
+    """Shares of the classes with all letters as one class."""
+    return np.column_stack([classes[:, LETTERS].sum(1), np.delete(classes, LETTERS, axis=1)])
+
+
+def general_reference(table: DataFrame) -> np.ndarray:
+    """Mean shares of the classes, letters as one, over all documents that pass the base rules."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = np.rint(_any_script(_shares(batch)[0]) * 1e6).astype(np.int64).sum(0)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int32()), pa.array(sums)], names=["place", "value"])
+
+    parts = table.filter("NOT base_failed").select("classes", "words").mapInArrow(run, "place int, value bigint")
+    found = parts.groupBy("place").agg(F.sum("value").alias("value")).orderBy("place").collect()  # a row per class
+    sums = np.array([row["value"] for row in found] or [0] * (N_CLASSES - len(LETTERS) + 1), dtype=float)
+    return sums / max(sums.sum(), 1.0)
+
+
+def ordinary(classes: np.ndarray, n_words: np.ndarray, general: np.ndarray) -> np.ndarray:
+    """Which rows lie within the limit around the mean of all documents."""
+    return jensen_shannon(_any_script(classes), general) <= GENERAL_LIMIT[0] + GENERAL_LIMIT[1] / np.maximum(n_words, 1)
+
+
 References = list[tuple[np.ndarray, np.ndarray]]
 
 
@@ -116,16 +147,19 @@ def largest_references(references: DataFrame) -> References:
 def with_references(table: DataFrame, references: DataFrame) -> DataFrame:
     """Every row of ``table`` with the reference of its language, or null."""
     width = 8 * (N_CLASSES + N_WORDS)
-    small = broadcast_within(references.select("lang", "reference"), references.count() * width // 64)
+    named = references.select("lang", F.col("n").alias("n_reference"), "reference")
+    small = broadcast_within(named, references.count() * width // 64)
     return table.join(small, "lang", "left")
 
 
-def language_references(table: DataFrame, first: DataFrame | None = None) -> DataFrame:
+def language_references(table: DataFrame, general: np.ndarray, first: DataFrame | None = None) -> DataFrame:
     """lang, n and reference (mean histograms) of the languages; with ``first``, over documents near one of those references.
 
+    Documents far from the ``general`` reference are left out.
+
     Tasks add up whole millionths, so the sums are the same in any order.
     """
-    usable = table.filter("NOT base_failed AND lang IS NOT NULL").select("lang", "classes", "words")
+    usable = table.filter("NOT base_failed AND lang IS NOT NULL").select("lang", "n_words", "classes", "words")
     largest = largest_references(first) if first else []
     if first:
         usable = with_references(usable, first)
@@ -136,10 +170,11 @@ def language_references(table: DataFrame, first: DataFrame | None = None) -> Dat
             classes, words = _shares(batch)
             rows = np.rint(np.concatenate([classes, words], axis=1) * 1e6).astype(np.int64)
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
+            near = ordinary(classes, batch.column("n_words").to_numpy(), general)
             if trim:
                 known, own = _own_references(batch)
-                near = known & (nearest(classes, words, known, own, largest)[0] < TRIM)
-                rows, langs = rows[near], langs[near]
+                near &= known & (nearest(classes, words, known, own, largest)[0] < TRIM)
+            rows, langs = rows[near], langs[near]
             names = sorted(set(langs))
             sums = [[int((langs == name).sum()), *rows[langs == name].sum(0).tolist()] for name in names]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sums, pa.list_(pa.int64()))], names=["lang", "sums"])
@@ -157,13 +192,14 @@ def language_references(table: DataFrame, first: DataFrame | None = None) -> Dat
         return F.transform(own, lambda value: value / total)
 
     reference = F.concat(mean(2, N_CLASSES), mean(2 + N_CLASSES, N_WORDS)).alias("reference")
-    return materialize(by_lang.filter(F.col("n") >= MIN_DOCUMENTS).select("lang", "n", reference), "references")
+    return materialize(by_lang.filter("n > 1").select("lang", "n", reference), "references")
 
 
 def judge_documents(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, and both distances (null without a reference) of every row."""
     table = histogram_table(docs)
-    references = language_references(table, language_references(table))
+    general = general_reference(table)
+    references = language_references(table, general, language_references(table, general))
     largest = largest_references(references)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,11 +207,15 @@ def judge_documents(docs: DataFrame) -> DataFrame:
             failed = batch.column("base_failed").to_numpy(zero_copy_only=False).astype(bool)
             n_words = np.maximum(batch.column("n_words").to_numpy(), 1)
             own_known, own = _own_references(batch)
-            class_distance, word_distance = nearest(*_shares(batch), own_known, own, largest)
+            shares = _shares(batch)
+            class_distance, word_distance = nearest(*shares, own_known, own, largest)
             no_lang = batch.column("lang").is_null().to_numpy(zero_copy_only=False)
             known = np.isfinite(class_distance) & (own_known | no_lang)
-            far = (class_distance > CLASS_LIMIT[0] + CLASS_LIMIT[1] / n_words) | (word_distance > WORD_LIMIT[0] + WORD_LIMIT[1] / n_words)
-            kept = ~failed & ~(far & known)
+            n_reference = batch.column("n_reference").cast(pa.float64()).fill_null(np.inf).to_numpy(zero_copy_only=False)
+            few = FEW_DOCUMENTS / n_reference
+            far = class_distance > CLASS_LIMIT[0] + CLASS_LIMIT[1] / n_words + few
+            far |= word_distance > WORD_LIMIT[0] + WORD_LIMIT[1] / n_words + few
+            kept = ~failed & ~(far & known) & ordinary(shares[0], n_words, general)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(batch.column(name) for name in BASE), batch.column("base_failed"), pa.array(kept)]
                 + [pa.array(d, mask=~known) for d in (class_distance, word_distance)],
