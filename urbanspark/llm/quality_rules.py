@@ -40,8 +40,9 @@ CLASS_LIMIT = (0.16, 6.0)
 WORD_LIMIT = (0.45, 6.0)
 # Second references come from documents nearer than this to the first ones.
 TRIM = 0.15
-# Limit of the distance from all documents, and what a reference of n documents adds to the limits above, divided by n.
-GENERAL_LIMIT = (0.45, 6.0)
+# Limit of the distance from all documents: beyond the 0.56 between the mean of two unlike halves and each of them, so what
+# most documents are like is never dropped. And what a reference of n documents adds to the limits above, divided by n.
+GENERAL_LIMIT = (0.6, 6.0)
 FEW_DOCUMENTS = 0.9
 # References that go to every task, about 1 kB each, for documents whose language is missing or wrong. Each document
 # gets the reference of its own language by a join, whatever its size.
