@@ -249,3 +249,39 @@ def test_center_update_is_a_weighted_mean(spark):
     start = [[0.0] * 8, [9.0] + [0.0] * 7]
     centers, weights = cluster.update_centers(df, start, [2.0, 0.0])
     assert centers[0][0] == pytest.approx(0.5) and centers[1][0] == 10.0 and weights == [4.0, 1.0]
+
+
+def test_windows_of_a_run_take_turns(spark):
+    """One walk over a run gives what steps one by one give, whatever order and files the rows come in."""
+    rng = random.Random(3)
+    rows = [(f, w, 10 * w + i, *[rng.gauss(0, 1) for _ in cluster.FEATURES]) for f in (1, 2) for w in range(6) for i in range(10)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "part int, batch_no bigint, offset bigint, " + ", ".join(f"{f} double" for f in cluster.FEATURES))
+    centers, weights = [[-0.1] * 8, [0.1] * 8], [0.0, 0.0]
+    found = cluster.update_windows(df.repartition(5), ["batch_no", "part"], ["offset"], centers, weights)
+    assert [(r["batch_no"], r["part"]) for r in found] == [(w, f) for w in range(6) for f in (1, 2)]
+    for step in found:
+        centers, weights = [list(c) for c in centers], list(weights)
+        points = [r[3:] for r in rows if (r[1], r[0]) == (step["batch_no"], step["part"])]
+        near = [min((0, 1), key=lambda k: sum((x - c) ** 2 for x, c in zip(p, centers[k]))) for p in points]
+        for k in (0, 1):
+            own = [p for p, n in zip(points, near) if n == k]
+            if own:
+                total = weights[k] + len(own)
+                centers[k] = [(c * weights[k] + sum(x)) / total for c, x in zip(centers[k], zip(*own))]
+                weights[k] = total
+        assert step["weights"] == weights
+        for k in (0, 1):
+            assert step["centers"][k] == pytest.approx(centers[k])
+
+
+def test_jobs_of_the_clustering_do_not_grow_with_the_windows(spark):
+    base, rows = message_files(spark, 1)
+    jobs = []
+    for size in (200, 10):
+        out = work_folder(spark, "clusters")
+        stream = messages.replay_files(spark, f"{base}/*", rows.schema)
+        query = cluster.start_clustering(stream, f"{out}/sink", f"{out}/checkpoint", "message_offset", size, min_year=1995)
+        query.awaitTermination()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId))))
+    assert 0 < jobs[1] < jobs[0] + 20, jobs
