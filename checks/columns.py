@@ -11,6 +11,7 @@ from checks.views import with_views
 from urbanspark.functions import clean, rules
 from urbanspark.operators import encode
 from urbanspark.operators.explore import distinct_counts
+from urbanspark.operators.tables import materialize
 from urbanspark.plans import features, tickets
 from urbanspark.streaming.windows import usable_year
 
@@ -169,6 +170,8 @@ def drop_constant_std(spark, sf_dir):
     source = V.tickets(spark, sf_dir, *STD_COLUMNS[:-1], "issue_date").withColumn("same", F.lit(1))
     dated = source.withColumn("issue_date", clean.to_timestamp_or_null("issue_date"))
     train, _ = encode.split_by_time(dated, "issue_date", V.TEST)
+    # Written once: joining the view shuffles far more than these columns hold, and two passes read them.
+    train = materialize(train.select(*STD_COLUMNS), "std_columns")
     kept = [c for c in STD_COLUMNS if c not in encode.constant_columns_by_deviation(train, STD_COLUMNS)]
     moments = encode.column_moments(train, kept)
     return moments.select("column", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))

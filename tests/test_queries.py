@@ -72,3 +72,9 @@ def test_no_nested_loop_join(spark, name):
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(queries()["freq_agency"](spark, SF))
     assert "ReadSchema: struct<l_returnflag:string>" in plan
+
+
+def test_the_ticket_view_is_joined_once(spark):
+    """Two passes decide and measure the columns; both read the few columns that were written, not the joins of the view."""
+    plan = plan_of(queries()["drop_constant_std"](spark, SF))
+    assert "Join" not in plan and "std_columns" in plan
