@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanspark.llm.words import SPACE, Slice, slices
-from urbanspark.operators.tables import materialize
+from urbanspark.operators.tables import materialize, rows_a_batch
 
 CAPACITY = 4096
 END_ID = 1
@@ -38,9 +38,12 @@ GROUP_PIECES = 4096
 LEVELS = 4
 # A sequence with no more room than this share of its capacity is closed.
 CLOSED_ROOM = 0.01
-# Texts are encoded in slices of this many bytes; known parts are kept up to this number (32 bytes each).
-ENCODE_BYTES = 4 << 20
+# Texts are encoded in slices of this many bytes (a slice takes about 50 times as much while it is encoded); known parts
+# are kept up to this number (32 bytes each).
+ENCODE_BYTES = 1 << 20
 KNOWN_PARTS = 2_000_000
+# Rows that a task hands to Python at a time; by default 10,000 texts, or lists of ids, make one batch.
+ROWS_A_BATCH = 1000
 
 # Bytes by kind: what the tokenizer's own pattern keeps together. OTHER marks words for the full tokenizer.
 BLANK, LETTER, DIGIT, MARK, OTHER = range(5)
@@ -301,7 +304,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids) of every piece."""
-    return pack_pieces(document_pieces(docs, tokenizer, capacity, keep_ids), capacity)
+    with rows_a_batch(docs.sparkSession, ROWS_A_BATCH):
+        return pack_pieces(document_pieces(docs, tokenizer, capacity, keep_ids), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -48,6 +48,18 @@ def compiled_methods(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def rows_a_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand at most ``rows`` rows at a time to Python in the jobs run inside; Spark's default is 10,000, whatever a row holds."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write to the shared work folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
