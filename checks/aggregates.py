@@ -17,7 +17,13 @@ STATS = explore.STATISTICS
 
 
 def rounded(df, columns, digits=6):
-    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
+    """Columns as doubles of ``digits`` (0 or more) decimals. Spark rounds a double as a decimal number; whole ones need none (0.0 is added for the sign of -0.0)."""
+
+    def short(c):
+        number = F.col(c).cast("double")
+        return F.when(F.rint(number) == number, number + F.lit(0.0)).otherwise(F.round(number, digits))
+
+    return df.withColumns({c: short(c) for c in columns})
 
 
 def rounded_sql(columns, digits=6):

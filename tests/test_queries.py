@@ -1,9 +1,11 @@
 """Every registered query against its SQL on the smallest tables, and checks of their plans."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks import views as V
+from checks.aggregates import rounded
 from checks.compare import compare, open_tables
 from tests.conftest import plan_of
 
@@ -78,3 +80,11 @@ def test_the_ticket_view_is_joined_once(spark):
     """Two passes decide and measure the columns; both read the few columns that were written, not the joins of the view."""
     plan = plan_of(queries()["drop_constant_std"](spark, SF))
     assert "Join" not in plan and "std_columns" in plan
+
+
+def test_rounded_whole_numbers_need_no_decimals(spark):
+    values = [None, 0.0, -0.0, 3.0, -7.0, 2.5, 1.00005, -1.00005, 0.123456, 1e-9, 9007199254740993.0, 1e300, float("nan"), float("inf"), -float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "x double").withColumn("y", F.round("x", 4))
+    rows = rounded(df, ["x"], 4).selectExpr("CAST(x AS STRING) AS x", "CAST(y AS STRING) AS y").collect()
+    assert [r.x for r in rows] == [r.y for r in rows]
+    assert "rint" in rounded(df, ["x"], 4)._jdf.queryExecution().analyzed().toString().lower()
